@@ -32,6 +32,8 @@ def get_spark(master: str | None = None, app: str = "cohortlink",
     if master:
         b = b.master(master)
     conf = dict(_DEFAULTS)
+    if master and master.startswith("local"):
+        conf["spark.driver.memory"] = "8g"   # local mode: the driver JVM is the executor
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
