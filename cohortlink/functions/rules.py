@@ -224,11 +224,17 @@ def py_float(col) -> Column:
         return _let(F.struct(sign.alias("s"), F.when(d0 == "", F.lit("0")).otherwise(d0).alias("d"),
                              F.regexp_extract(t, pat, 4).cast("int").alias("e")), _layout)
 
+    # fast path: a positional JVM text (1e-3 <= |x| < 1e7) with at most 15
+    # significant digits is already the shortest form, laid out as Python does
+    jvm = v.cast("string")
+    sig = F.regexp_replace(F.regexp_replace(F.regexp_replace(jvm, "[-.]", ""), "^0+", ""), "0+$", "")
+    fast = ~jvm.contains("E") & (F.length(sig) <= 15)
     return (F.when(v.isNull(), F.lit(None).cast("string"))
              .when(F.isnan(v), F.lit("NaN"))
              .when(v == float("inf"), F.lit("Infinity"))
              .when(v == float("-inf"), F.lit("-Infinity"))
-             .when(v == 0, F.when(v.cast("string").startswith("-"), F.lit("-0.0")).otherwise(F.lit("0.0")))
+             .when(v == 0, F.when(jvm.startswith("-"), F.lit("-0.0")).otherwise(F.lit("0.0")))
+             .when(fast, jvm)
              .otherwise(_let(sci_text, layout)))
 
 
