@@ -1,0 +1 @@
+"""Incremental driver for the batch release plan (no extra operators)."""
