@@ -100,15 +100,18 @@ def with_directories(files: DataFrame) -> DataFrame:
     """Listing plus one ``is_dir`` row per folder that holds a file.
 
     A listing of files sees a folder only through its files (K24); rows
-    already marked ``is_dir`` are kept.  Folders come from ``distinct`` on the
-    parent (a partial aggregate, no group is gathered).
+    already marked ``is_dir`` are kept.  Only the parents are de-duplicated
+    (a partial aggregate) and anti-joined with the folder rows already
+    present; the file rows themselves are never shuffled.
     """
+    known = files.where(F.col("is_dir")).select("path")
     dirs = (files.where(~F.col("is_dir")).select(F.col("parent").alias("path")).distinct()
+                 .join(known, "path", "left_anti")
                  .transform(with_path_parts)
                  .select("path", "name", "parent", F.lit(True).alias("is_dir"),
                          F.lit(None).cast("long").alias("length"),
                          F.lit(None).cast("timestamp").alias("modification_time")))
-    return files.unionByName(dirs).dropDuplicates(["path", "is_dir"])
+    return files.unionByName(dirs)
 
 
 def only_dirs(listing: DataFrame) -> DataFrame:
