@@ -65,11 +65,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "scratch", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder (reliable checkpoint).
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Materialise ``df`` as a parquet table in the shared checkpoint folder
+    and continue from it.
 
-    Survives executor loss: the data lives in shared storage, not in executor
-    memory or local disk.  Used for tables that several outputs read.
+    Survives executor loss (the data lives in shared storage, not in executor
+    memory or local disk) and cuts the lineage like ``checkpoint()``; being
+    columnar, later readers of a wide stage table read only the columns they
+    use, and the planner sees the table's real size.  Used for the stage
+    tables that several outputs read.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
