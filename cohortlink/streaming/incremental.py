@@ -49,9 +49,9 @@ def release_stream(spark: SparkSession, cohort_dir: str, inputs: Callable[[DataF
         inp = inputs(batch)
         inp.existing = _existing_packages(spark, manifest_path)
         out = build_release(spark, inp, params)
-        out.manifest.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(manifest_path)
-        out.issues.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(issues_path)
-        outcome.append_ledger(out.ledger, ledger_path, dry_run=params.dry_run)
+        outcome.write_partitions(out.manifest.withColumn("batch_id", F.lit(batch_id)), manifest_path, ["batch_id"])
+        outcome.write_partitions(out.issues.withColumn("batch_id", F.lit(batch_id)), issues_path, ["batch_id"])
+        outcome.append_ledger(out.ledger, ledger_path, dry_run=params.dry_run, attempt=f"batch-{batch_id}")
 
     reader = spark.readStream.schema(schemas.COHORT).option("header", "true").csv(cohort_dir)
     writer = reader.writeStream.foreachBatch(process).option("checkpointLocation", ckpt)
