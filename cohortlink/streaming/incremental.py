@@ -4,10 +4,11 @@ The studied tool is run again and again on lists of subjects and skips a
 package that already exists.  Here a Structured Streaming source watches
 the cohort folder; each micro-batch of new cohort rows goes through
 ``build_release`` with the packages already in the manifest table as
-``existing`` (E18, left-anti), and the manifest, issues and (outside a dry
-run) the ledger are appended.  The stream's checkpoint makes a restarted job
-continue after the last committed batch; ``foreachBatch`` appends are
-keyed by the batch id so a replayed batch is recognisable.
+``existing`` (E18, left-anti); the manifest, issues and (outside a dry run)
+the ledger are written.  The stream's checkpoint makes a restarted job
+continue after the last committed batch; every output is partitioned by
+the batch id and written with dynamic partition overwrite, so a replayed
+batch replaces its own rows instead of adding them twice.
 """
 
 from __future__ import annotations
