@@ -830,8 +830,6 @@ def _d(x: str) -> str:
 
 @query("O44d", f"""
 select n_nationkey, case n_regionkey
-  when 0 then '{{"RepetitionTime": ' || {_d('n_nationkey * 100 / 1000')} || ', "EchoTime": ' || {_d('n_nationkey * 2.5 / 1000')}
-     || ', "FlipAngle": ' || {_d('8 + n_regionkey')} || ', "InversionTime": ' || {_d('(1000 + n_nationkey) / 1000')} || '}}'
   when 1 then '{{"RepetitionTime": ' || {_d('n_nationkey * 100 / 1000')} || ', "EchoTime": ' || {_d('n_nationkey * 2.5 / 1000')}
      || ', "FlipAngle": ' || {_d('8 + n_regionkey')} || '}}'
   when 2 then '{{"TaskName": "mid", "registration_matrix_T1": [[1.0, 0.5], [' || {_d('n_nationkey')} || ', 0.25]], '
@@ -840,12 +838,15 @@ select n_nationkey, case n_regionkey
   when 3 then '{{"registration_matrix_T1": [], "IntendedFor": "sub-N' || n_nationkey || '_ses-x_run-01_dwi.nii", '
      || '"RepetitionTime": ' || {_d('n_nationkey * 100 / 1000')} || ', "EchoTime": ' || {_d('n_nationkey * 2.5 / 1000')}
      || ', "FlipAngle": ' || {_d('8 + n_regionkey')} || '}}'
+  else '{{"RepetitionTime": ' || {_d('n_nationkey * 100 / 1000')} || ', "EchoTime": ' || {_d('n_nationkey * 2.5 / 1000')}
+     || ', "FlipAngle": ' || {_d('8 + n_regionkey')} || ', "InversionTime": ' || {_d('(1000 + n_nationkey) / 1000')} || '}}'
   end as side_json
-from nation where n_regionkey <= 3
+from nation
 """)
 def side_json_text(spark, sf):
-    n = tbl(spark, sf, "nation").where(F.col("n_regionkey") <= 3)
-    st = F.element_at(F.array(*[F.lit(s) for s in ("MPR", "XetaT2", "BOLD", "DTI")]), F.col("n_regionkey") + 1)
+    n = tbl(spark, sf, "nation")
+    st = (F.when(F.col("n_regionkey") == 1, "XetaT2").when(F.col("n_regionkey") == 2, "BOLD")
+           .when(F.col("n_regionkey") == 3, "DTI").otherwise("MPR"))
     k = F.col("n_nationkey").cast("double")
     mtx = F.when(F.col("n_regionkey") == 2, F.array(F.array(F.lit(1.0), F.lit(0.5)), F.array(k, F.lit(0.25))))
     runs = n.select("n_nationkey", st.alias("scantype"), (k * 100).alias("TR"), (k * 2.5).alias("TE"),
