@@ -73,7 +73,7 @@ def registry_read(spark, sf):
                                            ("event_id", "user_id", "event_type", "props")])
     desc = spark.createDataFrame([("id of event", "user", "type", "properties, as JSON")], ev.schema)
     path = scratch_path(spark, "registry-tsv")
-    desc.unionByName(ev).write.option("header", "true").option("sep", "\t").csv(path)
+    desc.unionByName(ev).write.option("header", "true").option("sep", "\t").option("escape", '"').csv(path)
     return readers.read_registry(spark, path, columns=("event_id", "user_id", "event_type", "props"),
                                  id_col="event_id").drop("src_order")
 

@@ -59,13 +59,14 @@ def read_registry(spark: SparkSession, path, columns: Sequence[str] = tuple(sche
                   id_col: str = "image03_id", sep: str = "\t") -> DataFrame:
     """Registry of earlier uploads: TSV with a header and a description line.
 
-    All columns are text.  The description line is dropped by predicate
+    All columns are text; quoting as pandas reads it (a quote inside a
+    quoted field is doubled).  The description line is dropped by predicate
     (its id is not a number).  ``src_order`` keeps the file order, needed
     for "the last match wins": (file path, block start, row id within the
     task) orders rows as they stand in the files, whatever the split sizes.
     """
     df = _read(spark, path, "csv", header="true", sep=sep, inferSchema="false",
-               escape="\\", multiLine="false")
+               quote='"', escape='"', multiLine="false")
     order = F.struct(F.col("_metadata.file_path").alias("file"),
                      F.col("_metadata.file_block_start").alias("block"),
                      F.monotonically_increasing_id().alias("row"))
