@@ -35,7 +35,7 @@ def read_cohort(spark: SparkSession, path, fmt: str = "csv",
                 schema: T.StructType = schemas.COHORT) -> DataFrame:
     """Cohort table; a missing file raises FileNotFoundError (the exists check)."""
     if fmt == "csv":
-        return _read(spark, path, "csv", schema, header="true", mode="PERMISSIVE")
+        return _read(spark, path, "csv", schema, header="true", mode="PERMISSIVE", quote='"', escape='"')
     return _project(_read(spark, path, fmt), schema)
 
 
@@ -48,7 +48,7 @@ def read_catalog(spark: SparkSession, path, fmt: str = "csv",
     here, so ``StudyDate`` keeps its form and only ``SeriesTime`` is numeric.
     """
     if fmt == "csv":
-        df = _read(spark, path, "csv", header="true", inferSchema="false")
+        df = _read(spark, path, "csv", header="true", inferSchema="false", quote='"', escape='"')
     else:
         df = _read(spark, path, fmt)
     return _project(df, schema)
