@@ -20,7 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspa
 
 from cohortlink.operators import outcome  # noqa: E402
 from cohortlink.plans.pipeline import ReleaseInputs, ReleaseParams, build_release  # noqa: E402
-from cohortlink.session import get_spark  # noqa: E402
+from cohortlink.session import drop_scratch, get_spark  # noqa: E402
 from cohortlink.sources import readers  # noqa: E402
 
 
@@ -68,6 +68,7 @@ def main(argv=None, spark=None) -> None:
         outcome.write_partitions(getattr(out, name).withColumn("attempt", outcome.F.lit(attempt)),
                                  os.path.join(a.out, name), ["attempt"])
     outcome.append_ledger(out.ledger, os.path.join(a.out, "ledger"), dry_run=a.nowrite, attempt=attempt)
+    drop_scratch(spark, out.extra["scratch"])   # stage tables are no longer needed once outputs are written
     if own:
         spark.stop()
 

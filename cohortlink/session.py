@@ -7,6 +7,8 @@ shared by all executors; it is read from the session.  Only when it is unset
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import os
 import tempfile
 import uuid
@@ -59,10 +61,32 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or d
 
 
+_RUN_ROOT: contextvars.ContextVar[str | None] = contextvars.ContextVar("cohortlink_run_root", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder below the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, "scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh, unique folder below the shared checkpoint folder (below the
+    current run's folder while one is open, see ``run_scratch``)."""
+    base = _RUN_ROOT.get() or os.path.join(ensure_checkpoint_dir(spark), "scratch")
+    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+@contextlib.contextmanager
+def run_scratch(spark: SparkSession, name: str = "release"):
+    """Keep every stage table written inside the block under one folder, so
+    the job can drop them together once its outputs are written."""
+    root = scratch_path(spark, name)
+    token = _RUN_ROOT.set(root)
+    try:
+        yield root
+    finally:
+        _RUN_ROOT.reset(token)
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a run's scratch folder (any Hadoop file system)."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..operators import outcome
 from ..plans.pipeline import ReleaseInputs, ReleaseParams, build_release
+from ..session import drop_scratch
 
 
 def _existing_packages(spark: SparkSession, manifest_path: str) -> DataFrame | None:
@@ -53,6 +54,7 @@ def release_stream(spark: SparkSession, cohort_dir: str, inputs: Callable[[DataF
         outcome.write_partitions(out.manifest.withColumn("batch_id", F.lit(batch_id)), manifest_path, ["batch_id"])
         outcome.write_partitions(out.issues.withColumn("batch_id", F.lit(batch_id)), issues_path, ["batch_id"])
         outcome.append_ledger(out.ledger, ledger_path, dry_run=params.dry_run, attempt=f"batch-{batch_id}")
+        drop_scratch(spark, out.extra["scratch"])   # the batch's stage tables are done with
 
     reader = spark.readStream.schema(schemas.COHORT).option("header", "true").csv(cohort_dir)
     writer = reader.writeStream.foreachBatch(process).option("checkpointLocation", ckpt)
