@@ -72,6 +72,7 @@ DTI_REG_EXCLUDE = "rev"
 RAW_STRUCT_MARK = "NORM"
 CONTAINER_MARK = "PROC"
 
+PROJECT_ID = "DAL_ABCD"            # location row of the processed data
 SUBJECT_PREFIX = "NDAR"
 NAME_TYPE_MARK = "ABCD-"
 NAME_TYPE_NEW = "ABCD-MPROC-"
@@ -98,6 +99,9 @@ SUBMISSION_COLUMNS = [
     "session_det", "image_history",
 ]
 
+# outcome columns of the ledger rows
+LEDGER_OUTCOME_COLUMNS = ["miNDA_ok", "miNDA_msg", "s3_ok", "s3_msg"]
+
 # delivery messages
 DRY_SUBMIT_MSG = "Here I would upload record to miNDA"
 DRY_UPLOAD_MSG = "Here I would upload data set to AWS-s3"

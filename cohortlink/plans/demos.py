@@ -567,7 +567,8 @@ def maker_image_limit(spark, sf):
         "p_partkey", R.max_images(F.concat_ws(" ", "p_name", "p_type")).cast("long").alias("lim"))
 
 
-_RAW_NAME_SQL = ("'NDARC' || o_custkey || '_' || strftime(o_orderdate, '%Y%m%d') || '_' || "
+_P = dims.SUBJECT_PREFIX
+_RAW_NAME_SQL = (f"'{_P}C' || o_custkey || '_' || strftime(o_orderdate, '%Y%m%d') || '_' || "
                  "(case when o_orderpriority = '1-URGENT' then 'NORM' else 'STD' end) || '_' || o_orderkey || '.tgz'")
 
 
@@ -587,9 +588,9 @@ from r left join c2 on c2.k = r.k group by r.k
 def raw_file_match(spark, sf):
     o = tbl(spark, sf, "orders")
     day = F.date_format("o_orderdate", "yyyyMMdd")
-    runs = o.select("o_orderkey", F.concat(F.lit("NDARC"), F.col("o_custkey").cast("string")).alias("raw_subject"),
+    runs = o.select("o_orderkey", F.concat(F.lit(_P + "C"), F.col("o_custkey").cast("string")).alias("raw_subject"),
                     day.alias("series_time"), (F.col("o_orderstatus") == "F").alias("prefer_mark"))
-    name = F.concat(F.lit("NDARC"), F.col("o_custkey").cast("string"), F.lit("_"), day, F.lit("_"),
+    name = F.concat(F.lit(_P + "C"), F.col("o_custkey").cast("string"), F.lit("_"), day, F.lit("_"),
                     F.when(F.col("o_orderpriority") == "1-URGENT", "NORM").otherwise("STD"), F.lit("_"),
                     F.col("o_orderkey").cast("string"), F.lit(".tgz"))
     parent = F.concat(F.lit("/fast-track/"), F.col("o_orderstatus"))
@@ -673,9 +674,9 @@ def visit_name_variants(spark, sf):
         R.visit_name("o_orderpriority", "title", sep="-").alias("ttl"))
 
 
-@query("O38", """
-select o_orderkey, 'NDARC' || o_custkey || '_' || replace(lower(replace(o_orderpriority, ' ', '_')), '_', '')
-       || '_ABCD-' || o_orderstatus || '_' || strftime(o_orderdate, '%Y%m%d') || o_orderkey || '.tgz' as expected
+@query("O38", f"""
+select o_orderkey, '{_P}C' || o_custkey || '_' || replace(lower(replace(o_orderpriority, ' ', '_')), '_', '')
+       || '_{dims.NAME_TYPE_MARK}' || o_orderstatus || '_' || strftime(o_orderdate, '%Y%m%d') || o_orderkey || '.tgz' as expected
 from orders
 """)
 def expected_raw_names(spark, sf):
@@ -724,7 +725,7 @@ def interview_dates_age(spark, sf):
                     R.age_months(F.lit("1988-02-29"), F.date_format("o_orderdate", "yyyyMMdd")).alias("age_m"))
 
 
-@query("O42", """
+@query("O42", f"""
 with reg as (select cast(l_orderkey as varchar) as subjectkey, l_returnflag || '.tgz' as f,
                     case when l_tax = 0 then '' else cast(l_suppkey as varchar) end as dataset_id,
                     strftime(l_shipdate, '%m/%d/%Y') || ' 00:00:00' as idate, cast(l_linenumber * 12 as varchar) as age,
@@ -740,7 +741,7 @@ select o_orderkey,
        case when last.subjectkey is null
             then cast(round(round(date_diff('day', date '1988-02-29', o_orderdate::date) / 365.25, 1) * 12)::bigint as varchar)
             else last.age end as interview_age,
-       case when last.subjectkey is null then 's3://nda-abcd/NDAR' || o_orderkey || '.tgz' else last.image_file end as file_source,
+       case when last.subjectkey is null then '{dims.RAW_BUCKET}{_P}' || o_orderkey || '.tgz' else last.image_file end as file_source,
        case when last.subjectkey is null then '' else last.image03_id end as img03_id
 from orders left join last on last.subjectkey = cast(o_orderkey as varchar)
 """)
@@ -756,7 +757,7 @@ def source_choice(spark, sf):
     runs = tbl(spark, sf, "orders").select(
         "o_orderkey", F.col("o_orderkey").cast("string").alias("subject"), F.lit("R.tgz").alias("file"),
         F.date_format("o_orderdate", "yyyyMMdd").alias("series_date"), F.lit("1988-02-29").alias("dob"),
-        F.concat(F.lit("NDAR"), F.col("o_orderkey").cast("string"), F.lit(".tgz")).alias("raw_resolved"))
+        F.concat(F.lit(_P), F.col("o_orderkey").cast("string"), F.lit(".tgz")).alias("raw_resolved"))
     linked = link.link_registry(runs, reg, "subject", "file",
                                 ["image03_id", "dataset_id", "interview_date", "interview_age", "image_file"])
     out = link.choose_source(linked)
@@ -881,23 +882,26 @@ def motion_table_text(spark, sf):
     return per.select("l_orderkey", package.motion_tsv(text).alias("tsv"))
 
 
+_SESSION = {m: det for m, *_, det in dims.MODALITY_ROWS}
+
+
 def _submission_sql() -> str:
     lit = _sq
     vals = {
-        "subjectkey": "'NDAR_C' || o_custkey", "src_subject_id": "'NDAR_C' || o_custkey",
+        "subjectkey": f"'{_P}_C' || o_custkey", "src_subject_id": f"'{_P}_C' || o_custkey",
         "origin_dataset_id": "'0'", "interview_date": "strftime(o_orderdate, '%m/%d/%Y') || ' 00:00:00'",
         "interview_age": "cast(o_custkey as varchar)",
         "gender": "case when o_orderstatus = 'F' then 'F' else 'M' end",
         "experiment_id": "case when o_orderpriority = '1-URGENT' then '648' else '' end",
         "inputs": lit(dims.INPUTS_TEXT), "img03_id": "cast(o_orderkey as varchar)",
-        "file_source": "'s3://nda-abcd/x' || o_orderkey || '.tgz'", "job_name": "''", "proc_types": "''",
+        "file_source": f"'{dims.RAW_BUCKET}x' || o_orderkey || '.tgz'", "job_name": "''", "proc_types": "''",
         "metric_files": "''", "pipeline": lit(dims.PIPELINE), "pipeline_script": lit(dims.PIPELINE_SCRIPT),
         "pipeline_tools": lit(dims.PIPELINE_TOOLS), "pipeline_type": lit(dims.PIPELINE_TYPE),
         "pipeline_version": lit(dims.PIPELINE_VERSION), "qc_fail_quest_reason": "''", "qc_outcome": lit(dims.QC_OUTCOME),
         "derived_files": lit(dims.RELEASE_BUCKET) + " || 'B' || o_orderkey || '.tgz'",
         "scan_type": "case when o_orderstatus = 'F' then 'fMRI' else 'MR structural (T1)' end",
         "img03_id2": "''", "file_source2": "''",
-        "session_det": "case when o_orderstatus = 'F' then 'ABCD-MPROC-MID' else 'ABCD-MPROC-T1' end",
+        "session_det": f"case when o_orderstatus = 'F' then {lit(_SESSION['fMRI_MID_task'])} else {lit(_SESSION['T1'])} end",
         "image_history": f"case when o_orderstatus = 'F' then {lit(dims.IMAGE_HISTORY_BOLD)} "
                          f"else {lit(dims.IMAGE_HISTORY_STRUCT)} end",
     }
@@ -908,15 +912,15 @@ def _submission_sql() -> str:
 def submission_record(spark, sf):
     o = tbl(spark, sf, "orders")
     is_f = F.col("o_orderstatus") == "F"
-    pg = F.concat(F.lit("NDAR_C"), F.col("o_custkey").cast("string"))
+    pg = F.concat(F.lit(_P + "_C"), F.col("o_custkey").cast("string"))
     cols = submit.submission_columns(
         pg, F.lit("0"), F.date_format("o_orderdate", "MM/dd/yyyy 00:00:00"), F.col("o_custkey").cast("string"),
         F.when(is_f, "F").otherwise("M"), F.when(F.col("o_orderpriority") == "1-URGENT", "648").otherwise(""),
         F.col("o_orderkey").cast("string"),
-        F.concat(F.lit("s3://nda-abcd/x"), F.col("o_orderkey").cast("string"), F.lit(".tgz")),
+        F.concat(F.lit(dims.RAW_BUCKET + "x"), F.col("o_orderkey").cast("string"), F.lit(".tgz")),
         F.concat(F.lit("B"), F.col("o_orderkey").cast("string")),
         F.when(is_f, "fMRI").otherwise("MR structural (T1)"),
-        F.when(is_f, "ABCD-MPROC-MID").otherwise("ABCD-MPROC-T1"),
+        F.when(is_f, _SESSION["fMRI_MID_task"]).otherwise(_SESSION["T1"]),
         F.when(is_f, dims.IMAGE_HISTORY_BOLD).otherwise(dims.IMAGE_HISTORY_STRUCT))
     return o.select("o_orderkey", *cols)
 
@@ -929,17 +933,17 @@ def payload_rows(spark, sf):
     return submit.name_value_rows(tbl(spark, sf, "nation"), ["n_nationkey"], ["n_name", "n_regionkey"])
 
 
-@query("O45b", """
-select n_nationkey, '{"schemaName": "abcd_upload_107927", "dataStructureRows": [{"shortName": "fmriresults01", '
-  || '"dataElement": [{"name": "n_name", "value": "' || n_name || '"}, {"name": "n_regionkey", "value": "'
-  || n_regionkey || '"}]}]}' as payload
+@query("O45b", f"""
+select n_nationkey, '{{"schemaName": "{dims.SCHEMA_NAME}", "dataStructureRows": [{{"shortName": "{dims.SHORT_NAME}", '
+  || '"dataElement": [{{"name": "n_name", "value": "' || n_name || '"}}, {{"name": "n_regionkey", "value": "'
+  || n_regionkey || '"}}]}}]}}' as payload
 from nation
 """)
 def payload_document(spark, sf):
     return submit.payload(tbl(spark, sf, "nation"), ["n_nationkey"], columns=["n_name", "n_regionkey"])
 
 
-@query("O46a", """
+@query("O46a", f"""
 with s as (select user_id, arg_max(value > 20, ts) as ok, arg_max(props, ts) as msg from events
            where event_type = 'view' group by 1),
 u as (select user_id, arg_max(value > 20, ts) as ok, arg_max(props, ts) as msg from events
@@ -949,7 +953,7 @@ select r.user_id, coalesce(s.ok, false) as submit_ok,
        regexp_replace(coalesce(s.msg, ''), '["'']', '', 'g') as submit_msg,
        case when coalesce(s.ok, false) then coalesce(u.ok, false) end as upload_ok,
        case when coalesce(s.ok, false) then regexp_replace(coalesce(u.msg, ''), '["'']', '', 'g')
-            else 'AWS-s3 not attempted because miNDA upload failed' end as upload_msg,
+            else {_sq(dims.UPLOAD_SKIPPED_MSG)} end as upload_msg,
        not coalesce(s.ok, false) or not coalesce(case when coalesce(s.ok, false) then coalesce(u.ok, false) end, false)
          as withdrawn
 from r left join s on s.user_id = r.user_id left join u on u.user_id = r.user_id

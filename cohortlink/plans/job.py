@@ -1,8 +1,8 @@
 """Job entry: the release for one site and modality list, whole cohort.
 
     spark-submit cohortlink/plans/job.py --cohort subjs.csv --site chla --modality dMRI \\
-        --catalog pcinfo.csv --containers containers.parquet --inventory files.parquet \\
-        --registry image03.txt --locations locations.csv --out /release/run1 [--nowrite]
+        --catalog catalog.csv --containers containers.parquet --inventory files.parquet \\
+        --registry registry.txt --locations locations.csv --out /release/run1 [--nowrite]
 
 The same inputs as the studied shell loop (subjects file, site, modality),
 for all subjects in one job.  ``--nowrite`` is the dry run: packages are
