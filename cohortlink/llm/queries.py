@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlink.llm import bpe, packing, quality
+from cohortlink.llm import bpe, embed_dedup, minhash, packing, quality
 from cohortlink.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,12 @@ def query(fn):
     return run
 
 
+@query
+def op1_embedding_int8_tiles(spark, sf_dir):
+    """Cosine links of all embeddings and their components."""
+    return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op7_quality_compression_bands(spark, sf_dir):
     """Base counts, compression ratios and verdict of every document."""
@@ -39,6 +45,12 @@ def op8_pack_karmarkar_karp(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), bpe.tokenizer_path())
 
 
+@query
+def op9_minhash_coordinate_join(spark, sf_dir):
+    """Components of documents that are similar on two-word shingles."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_bpe_round_trip(spark, sf_dir):
     """Every document encoded and decoded by the streaming transducer."""
