@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,5 +31,11 @@ def narrow(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared checkpoint folder and reread it: the
-    lineage is cut and a lost executor costs at most the running stage."""
-    return cut_lineage(df, name)
+    lineage is cut and a lost executor costs at most the running stage.
+
+    The shuffle files of the written stage are of no use any more; Spark frees
+    them once the plan's objects are collected, which is asked for here."""
+    out = cut_lineage(df, name)
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return out

@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlink.llm import bpe, embed_dedup, minhash, packing, quality
+from cohortlink.llm import bpe, embed_dedup, minhash, packing, quality, suffix_dedup
 from cohortlink.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,12 @@ def op1_embedding_int8_tiles(spark, sf_dir):
     return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op2_suffix_array_dedup(spark, sf_dir):
+    """Bytes of every document that lie in a 100-byte string seen earlier."""
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_quality_compression_bands(spark, sf_dir):
     """Base counts, compression ratios and verdict of every document."""
