@@ -11,11 +11,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlink.llm import bpe, embed_dedup, minhash, packing, quality, suffix_dedup
+from cohortlink.llm import (bpe, embed_dedup, licences, line_dedup, minhash, packing, pii, quality, suffix_dedup,
+                            toxicity)
 from cohortlink.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op5_licence_digest_lookup": licences.oracle_sql(),
+                       "op6_line_deletion_neighbourhood": line_dedup.ORACLE_SQL}
 
 
 def query(fn):
@@ -39,6 +41,30 @@ def op2_suffix_array_dedup(spark, sf_dir):
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_pii_context_bootstrap(spark, sf_dir):
+    """Personal data of every document: base spans and spans of confident contexts."""
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_toxicity_weak_supervision(spark, sf_dir):
+    """Toxicity score of every document."""
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op5_licence_digest_lookup(spark, sf_dir):
+    """Licence texts and notices in every document."""
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_line_deletion_neighbourhood(spark, sf_dir):
+    """Every document without the lines that occur earlier, equal or one edit away."""
+    return line_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_quality_compression_bands(spark, sf_dir):
     """Base counts, compression ratios and verdict of every document."""
