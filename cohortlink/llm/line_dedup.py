@@ -141,12 +141,12 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
 #: the same rows in DuckDB: neighbours by plain pieces of the lines, without variants
 ORACLE_SQL = f"""
 WITH every AS (
-  SELECT doc_id, unnest(range(len(l))) AS at, unnest(l) AS raw
+  SELECT doc_id, unnest(range(len(l))) AS ln, unnest(l) AS raw
   FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)),
 line AS (
-  SELECT doc_id, at, raw, trim(raw, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS x FROM every),
+  SELECT doc_id, ln, raw, trim(raw, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS x FROM every),
 uniq AS (
-  SELECT x, min(struct_pack(doc_id := doc_id, at := at)) AS first, length(x) AS n FROM line WHERE x <> '' GROUP BY x),
+  SELECT x, min(struct_pack(doc_id := doc_id, ln := ln)) AS first, length(x) AS n FROM line WHERE x <> '' GROUP BY x),
 long AS (SELECT *, (n - 1) // 2 AS h, n // 2 AS g FROM uniq WHERE n >= {LEAST}),
 half AS (
   SELECT x, first, n, n AS m, 'l' AS side, left(x, h) AS part FROM long
@@ -165,11 +165,11 @@ near AS (
              WHEN n > m THEN substr(x, p + 2) = substr(y, p + 1)
              ELSE substr(x, p + 1) = substr(y, p + 2) END),
 judged AS (
-  SELECT l.*, l.x <> '' AS has, coalesce(u.first < struct_pack(doc_id := l.doc_id, at := l.at), false) AS equal,
+  SELECT l.*, l.x <> '' AS has, coalesce(u.first < struct_pack(doc_id := l.doc_id, ln := l.ln), false) AS equal,
          r.x IS NOT NULL AS near
   FROM line l LEFT JOIN uniq u ON u.x = l.x LEFT JOIN near r ON r.x = l.x)
 SELECT doc_id, count(*) FILTER (WHERE has) AS n_lines, count(*) FILTER (WHERE equal) AS n_equal,
        count(*) FILTER (WHERE near AND NOT equal) AS n_near,
-       coalesce(string_agg(raw, chr(10) ORDER BY at) FILTER (WHERE NOT equal AND NOT near), '') AS text
+       coalesce(string_agg(raw, chr(10) ORDER BY ln) FILTER (WHERE NOT equal AND NOT near), '') AS text
 FROM judged GROUP BY doc_id
 """
