@@ -26,6 +26,7 @@ tokenizers library does by default; ties and repeated rows are encoded alike.
 from __future__ import annotations
 
 import codecs
+import gc
 import hashlib
 import heapq
 import json
@@ -149,7 +150,7 @@ class MergeTable:
                     heapq.heappush(queue, (r, a, p))
         return [x for x in ids if x >= 0]
 
-    def encode_words(self, words: list[str]) -> tuple[list[int], list[int]]:
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, list[int]]:
         """BPE of many short words at once: all their ids in a row, and where each word's ids end.
 
         Every round joins, in each word that still has a pair to join, the leftmost
@@ -201,7 +202,7 @@ class MergeTable:
         begin[order] = np.cumsum(length) - length
         end = np.cumsum(n_ids)
         place = np.repeat(begin - (end - n_ids), n_ids) + np.arange(int(n_ids.sum()))
-        return (np.concatenate(done_ids)[place].tolist() if done_ids else []), end.tolist()
+        return np.concatenate([*done_ids, ids[:0]])[place], end.tolist()
 
     def _ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         key = a << 24 | b
@@ -276,28 +277,32 @@ class Memo(dict):
             self.clear()
         self[key] = value
 
+    def put_all(self, values: dict) -> None:
+        if len(self) + len(values) > self.limit:
+            self.old = dict(self)
+            self.clear()
+        self.update(values)
+
     def unknown(self, keys: set[str]) -> list[str]:
         """Those of ``keys`` in neither generation; the others move to the young one."""
-        out = []
-        for k in keys.difference(self):
-            value = self.old.get(k)
-            if value is None:
-                out.append(k)
-            else:
-                self.put(k, value)
-        return out
+        keys = keys.difference(self)
+        again = keys & self.old.keys()
+        self.put_all({k: self.old[k] for k in again})
+        return list(keys - again)
 
 
 class StreamEncoder:
     """Text in pieces -> rendered tokens, emitted once stable.
 
     ``render`` turns a list of ids to what the caller collects (bytes, text,
-    counts); ``join`` puts several of them together.  Results come in text
-    order.  The memo outlives a document.
+    counts), ``join`` puts several of them together, ``render_all`` renders many
+    words given in a row with their ends.  Results come in text order.  The memo outlives a document.
     """
 
-    def __init__(self, table: MergeTable, render: Callable[[list[int]], object], join: Callable[[list], object]):
+    def __init__(self, table: MergeTable, render: Callable[[list[int]], object], join: Callable[[list], object],
+                 render_all: Callable[[np.ndarray, list[int]], list] | None = None):
         self.table, self.render, self.join = table, render, join
+        self.render_all = render_all or self._render_each
         self.words: Memo = Memo(lambda w: render(table.encode_bytes(w.encode(), True)))
         self.memo: Memo = Memo(self._chunk)
         self.raw, self.open = "", None
@@ -314,18 +319,29 @@ class StreamEncoder:
     def learn(self, chunks: set[str]) -> None:
         """Encodes the chunks that are not remembered, their short words all at once."""
         find = self.table.pattern.findall
-        new = [(c, [c] if c.isalpha() else [c[:-1], c[-1]] if c[-1] in ".," and c[:-1].isalpha() else find(c))
-               for c in self.memo.unknown(chunks)]
-        words = self.words.unknown({w for _, ws in new for w in ws if len(w) <= SHORT})
-        if words:
-            ids, ends = self.table.encode_words(words)
-            for w, a, b in zip(words, [0, *ends], ends):
-                self.words.put(w, self.render(ids[a:b]))
-        for c, ws in new:
-            if len(ws) == 1 and len(c) <= SHORT:
-                self.memo.put(c, self.words[c])
+        single, several = [], []
+        for c in self.memo.unknown(chunks):
+            if c.isalpha() and len(c) <= SHORT:
+                single.append(c)
             else:
-                self.memo.put(c, self._chunk(c))
+                several.append((c, [c[:-1], c[-1]] if c[-1] in ".," and c[:-1].isalpha() else find(c)))
+        parts = {w for _, ws in several for w in ws if len(w) <= SHORT}
+        words = self.words.unknown(parts)
+        new = list({*single, *words})
+        known: dict = {}
+        if new:
+            ids, ends = self.table.encode_words(new)
+            known = dict(zip(new, self.render_all(ids, ends)))
+        found = {c: known[c] for c in single}
+        self.words.put_all({w: known[w] for w in words})
+        get, join = self.words.__getitem__, self.join
+        for c, ws in several:
+            found[c] = join([get(w) if len(w) <= SHORT else self._long(w) for w in ws])
+        self.memo.put_all(found)
+
+    def _render_each(self, ids: np.ndarray, ends: list[int]) -> list:
+        ids, render = ids.tolist(), self.render
+        return [render(ids[a:b]) for a, b in zip([0, *ends], ends)]
 
     def batch(self, texts: list[str]) -> Iterator[Iterator[list]]:
         """Each text's rendered tokens, piece by piece."""
@@ -455,6 +471,8 @@ _LOADED: dict = {}
 def loaded(path: str, key: str, make):
     """One encoder per worker process, file and use; workers live on between tasks."""
     if (path, key) not in _LOADED:
+        # the memos hold many small objects without cycles; scanning them often would cost a quarter of the time
+        gc.set_threshold(200_000, 50, 100)
         _LOADED[path, key] = make(MergeTable(path))
     return _LOADED[path, key]
 

@@ -36,7 +36,7 @@ from cohortlink.llm.common import narrow, prepare
 WINDOW = 2048
 END_ID = 1
 SHARD_DOCS = 1024
-FILLER_EVERY = 5
+FILLER_EVERY = 7
 #: the largest and the smallest piece a filler document's remainder is cut into
 FILLER_MOST, FILLER_LEAST = 256, 8
 
@@ -44,6 +44,11 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 PACKED = PIECES + ", sequence_id long, offset long, sequence_tokens long, padded_tokens long"
 
 
+def _packed(ids: np.ndarray, ends: list[int]) -> list[bytes]:
+    data = ids.astype("<u4").tobytes()
+    return [data[4 * a:4 * b] for a, b in zip([0, *ends], ends)]
+
+
 def cuts(n: int, filler: bool, window: int = WINDOW) -> list[int]:
     """Lengths of the pieces of a document of ``n`` tokens."""
     out = [window] * (n // window)
@@ -63,7 +68,7 @@ def pieces(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_I
 
     def run(batches):
         enc: bpe.StreamEncoder = bpe.loaded(path, "pieces", lambda t: bpe.StreamEncoder(
-            t, lambda ids: struct.pack(f"<{len(ids)}I", *ids), b"".join))
+            t, lambda ids: struct.pack(f"<{len(ids)}I", *ids), b"".join, _packed))
         end = np.array([end_id], "<u4").tobytes()
         for b in batches:
             rows: list[tuple] = []
