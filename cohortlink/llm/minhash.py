@@ -100,15 +100,20 @@ def signatures(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
 
 
 def postings(classes: DataFrame, matches: int = MATCHES) -> DataFrame:
-    """(token, rep, n): classes under their prefix of coordinate-value pairs, rarest first."""
+    """(token, rep, n, weight): classes under their prefix of coordinate-value pairs, rarest first.
+
+    ``weight``: how often the class's pairs occur in all.  The text that near copies were made from has
+    the largest, as it lacks the copies' changes; it is the best hub.
+    """
     tokens = classes.select("rep", "n", F.posexplode("sig").alias("c", "v")).select(
         "rep", "n", F.xxhash64("c", "v").alias("token"))
     often = tokens.groupBy("token").agg(F.count("*").alias("f")).where("f > 1")
     own = tokens.join(often, "token").groupBy("rep", "n").agg(
         F.sort_array(F.collect_list(F.struct("f", "token"))).alias("own"))
     return own.where(F.size("own") >= matches).select(
-        "rep", "n", F.explode(F.expr(f"slice(own, 1, size(own) - {matches - 1})")).alias("t")).select(
-        F.col("t.token").alias("token"), "rep", "n")
+        "rep", "n", F.aggregate("own", F.lit(0).cast("long"), lambda a, x: a + x.f).alias("weight"),
+        F.explode(F.expr(f"slice(own, 1, size(own) - {matches - 1})")).alias("t")).select(
+        F.col("t.token").alias("token"), "rep", "n", "weight")
 
 
 def blobs(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -125,10 +130,12 @@ def blobs(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int, matches: int) -> DataFrame:
     """(a, b, linked): pairs that agree in enough coordinates, confirmed on the full sets."""
-    side = lambda x: texts.select(F.col("rep").alias(x), F.col("sig").alias(f"sig_{x}"), F.col("blob").alias(f"blob_{x}"))
-    rows = pairs.join(side("a"), "a").join(side("b"), "b").where(
-        F.size(F.filter(F.zip_with("sig_a", "sig_b", lambda x, y: x == y), lambda x: x)) >= matches).select(
-        "a", "b", "blob_a", "blob_b")
+    def side(name: str, column: str) -> DataFrame:
+        return texts.select(F.col("rep").alias(name), F.col(column).alias(f"{column}_{name}"))
+
+    agree = F.size(F.filter(F.zip_with("sig_a", "sig_b", lambda x, y: x == y), lambda x: x))
+    near = pairs.join(side("a", "sig"), "a").join(side("b", "sig"), "b").where(agree >= matches).select("a", "b")
+    rows = near.join(side("b", "blob"), "b").join(side("a", "blob"), "a").select("a", "b", "blob_a", "blob_b")
 
     def run(batches):
         z, last = zstandard.ZstdDecompressor(), (None, None)
@@ -195,7 +202,8 @@ def link_classes(posts: DataFrame, classes: DataFrame, docs: DataFrame, words: i
 
 def hub_pairs(active: DataFrame, turn: int) -> DataFrame:
     """Each class under a token with the token's hub of this round, unless already connected."""
-    order = F.struct(F.xxhash64(F.lit(turn), "rep") if turn else F.lit(0).cast("long"), "rep", "n", "component")
+    first = -F.col("weight") if not turn else F.lit(0).cast("long") if turn == 1 else F.xxhash64(F.lit(turn), "rep")
+    order = F.struct(first.alias("order"), "rep", "n", "component")
     hubs = active.groupBy("token").agg(F.min(order).alias("h"), F.count("*").alias("c")).where("c > 1").select(
         "token", F.col("h.rep").alias("hub"), F.col("h.n").alias("m"), F.col("h.component").alias("hub_component"))
     return active.join(hubs, "token").where("component <> hub_component").select("hub", "m", "rep", "n")
