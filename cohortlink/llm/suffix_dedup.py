@@ -13,8 +13,8 @@ Every byte covered by a ``LENGTH``-byte string that also starts earlier
 3. *Blocks.*  Distinct cells of one anchor meet in a block of anchors.  The
    block's text is sorted by ``gsaca.suffix_array``; neighbours that agree on
    LENGTH bytes are one string, and all but its earliest start are repeats.
-   Cells that share no context of LENGTH - GRID bytes with another one cannot
-   share a window and are left out of the text.
+   Cells are first cut to the windows whose inner context (of at least
+   LENGTH - GRID bytes) another cell shares; the others cannot repeat.
 4. An anchor with more than HOT distinct cells would make an unbounded block:
    its windows are grouped by digest instead (``hot_spans``), which Spark
    pre-aggregates and splits; the result is the same.
@@ -42,7 +42,7 @@ from cohortlink.llm.gsaca import suffix_array
 
 LENGTH = 100
 GRAM = 32
-GRID = 17
+GRID = 6
 #: window starts taken at a time, so memory does not follow the longest text
 SEGMENT = 1 << 20
 #: bytes of cells a block should hold; distinct cells of one anchor that go to a block
@@ -127,8 +127,7 @@ def cell_table(docs: DataFrame, length: int, gram: int) -> DataFrame:
 
 def block_spans(pdf: pd.DataFrame, length: int = LENGTH, gram: int = GRAM) -> pd.DataFrame:
     """Distinct cells of a block of anchors (anchor, doc_id, start, bytes) -> repeated spans doc_id, start, size."""
-    pdf = pdf.reset_index(drop=True)
-    pdf = pdf[_may_share(pdf, length, gram)]
+    pdf = _shared_parts(pdf.reset_index(drop=True), length, gram)
     empty = pd.DataFrame({c: pd.Series(dtype="int64") for c in ("doc_id", "start", "size")})
     if len(pdf) < 2:
         return empty
@@ -161,21 +160,33 @@ def block_spans(pdf: pd.DataFrame, length: int = LENGTH, gram: int = GRAM) -> pd
     return _merged(doc[rep], start[rep], length)
 
 
-def _may_share(pdf: pd.DataFrame, length: int, gram: int) -> np.ndarray:
-    """Cells that share a context of length - GRID bytes around the anchor with another cell of it."""
+def _shared_parts(pdf: pd.DataFrame, length: int, gram: int) -> pd.DataFrame:
+    """The cells that share a context of length - GRID + 1 bytes around the anchor with another cell of it,
+    cut to the windows such contexts can belong to.
+
+    A window that begins o bytes before the anchor contains the context that begins at the multiple of
+    GRID at or below o, so equal windows have an equal context.
+    """
     data = np.frombuffer(b"".join(pdf["bytes"]), np.uint8)
     size = pdf["bytes"].map(len).to_numpy()
     begin = np.cumsum(size) - size
     h = Hashes(data)
     at, inner = begin + pdf["inner"].to_numpy(), length - gram
-    keep = np.zeros(len(pdf), bool)
+    first, last = begin + size, begin - 1
     grid = min(GRID, inner)
     for left in range(0, inner + 1, grid):
         a, b = at - left, at + gram + max(0, inner - left - grid + 1)
         ok = np.flatnonzero((a >= begin) & (b <= begin + size))
         key = pd.DataFrame({"anchor": pdf["anchor"].to_numpy()[ok], "h": h.of(a[ok], b[ok])})
-        keep[ok[key.duplicated(keep=False).to_numpy()]] = True
-    return keep
+        ok = ok[key.duplicated(keep=False).to_numpy()]
+        first[ok] = np.minimum(first[ok], a[ok] - grid + 1)
+        last[ok] = np.maximum(last[ok], a[ok])
+    first, last = np.maximum(first, begin), np.minimum(last, begin + size - length)
+    keep = np.flatnonzero(first <= last)
+    lead, end = (first - begin)[keep], (last - begin)[keep] + length
+    part = pdf.iloc[keep]
+    return part.assign(start=part["start"].to_numpy() + lead,
+                       bytes=[x[m:n] for x, m, n in zip(part["bytes"], lead, end)])
 
 
 def _merged(doc: np.ndarray, start: np.ndarray, length: int) -> pd.DataFrame:
