@@ -63,23 +63,30 @@ def half_keys(line: str) -> Column:
         xxhash64(length({line}) + extra, 'last', right({line}, {part})))))""")
 
 
-def variants(distinct: DataFrame) -> DataFrame:
-    """key, first, variant, gone: the line itself (gone 0) and each deletion of one character (its place)."""
-    return distinct.select("key", "first", F.posexplode(F.expr(
-        "transform(sequence(0, n), i -> unhex(md5(if(i = 0, line, concat(left(line, i - 1), substr(line, i + 1))))))"
+def variants(few: DataFrame) -> DataFrame:
+    """doc_id, at, variant, gone: the line itself (gone 0) and each deletion of one character (its place)."""
+    return few.select("doc_id", "at", F.posexplode(F.expr(
+        "transform(sequence(0, n), i -> xxhash64(if(i = 0, line, concat(left(line, i - 1), substr(line, i + 1))), n - int(i > 0)))"
     )).alias("gone", "variant"))
 
 
-def earliest_neighbours(distinct: DataFrame) -> DataFrame:
-    """key, other: the earliest place of a line that shares a variant in a way that means one edit."""
-    v = materialise(variants(distinct), "variants")
-    whole = v.where("gone = 0").select("variant", F.col("first").alias("as_whole"))
-    shorter = v.where("gone > 0").groupBy("variant").agg(F.min("first").alias("as_deletion"))
-    same = v.where("gone > 0").groupBy("variant", "gone").agg(F.min("first").alias("as_same"))
-    return (v.where("gone = 0").join(shorter, "variant").select("key", F.col("as_deletion").alias("other"))
-            .unionAll(v.where("gone > 0").join(whole, "variant").select("key", F.col("as_whole").alias("other")))
-            .unionAll(v.where("gone > 0").join(same, ["variant", "gone"]).select("key", F.col("as_same").alias("other")))
-            ).groupBy("key").agg(F.min("other").alias("other"))
+def earliest_neighbours(few: DataFrame) -> DataFrame:
+    """first, other: the earliest place of a line that shares a variant in a way that means one edit."""
+    v = materialise(variants(few), "variants")
+    whole = v.where("gone = 0").select("variant", place().alias("as_whole"))
+    # a whole line and the lines that become it by one deletion: each is the other's neighbour
+    met = v.where("gone > 0").join(whole, "variant").select(place().alias("as_deletion"), "as_whole")
+    same = v.where("gone > 0").groupBy("variant", "gone").agg(
+        F.min(place()).alias("least"), F.count("*").alias("c")).where("c > 1").drop("c")
+    equal = v.where("gone > 0").join(same, ["variant", "gone"]).select(place().alias("first"), F.col("least").alias("other"))
+    return (met.select(F.col("as_deletion").alias("first"), F.col("as_whole").alias("other"))
+            .unionAll(met.select(F.col("as_whole").alias("first"), F.col("as_deletion").alias("other")))
+            .unionAll(equal)).groupBy("first").agg(F.min("other").alias("other"))
+
+
+def spread(few: DataFrame) -> DataFrame:
+    """The lines over all shuffle partitions: each becomes as many rows as it has characters."""
+    return few.repartition(int(few.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key")
 
 
 def near_lines(every: DataFrame, distinct: DataFrame) -> DataFrame:
@@ -88,8 +95,8 @@ def near_lines(every: DataFrame, distinct: DataFrame) -> DataFrame:
     shared = h.groupBy("half").agg(F.count("*").alias("c")).where("c > 1").select("half")
     few = materialise(h.join(shared, "half", "left_semi").select("key", "first").distinct(), "keys_with_neighbours")
     few = materialise(every.join(few, "key").where(place() == F.col("first")).select(
-        "key", "first", "line", F.length("line").alias("n")).dropDuplicates(["key"]), "lines_with_neighbours")
-    found = earliest_neighbours(few).join(few, "key").where(F.col("other") < F.col("first"))
+        "key", "first", "doc_id", "at", "line", F.length("line").alias("n")).dropDuplicates(["key"]), "lines_with_neighbours")
+    found = earliest_neighbours(spread(few)).join(few, "first").where(F.col("other") < F.col("first"))
     text = few.select(F.col("first").alias("other"), F.col("line").alias("other_line"))
     return found.join(text, "other").where(F.levenshtein("line", "other_line") <= 1).select("key").distinct()
 
