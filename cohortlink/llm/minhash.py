@@ -128,13 +128,19 @@ def blobs(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return packed.join(wanted, "rep", "left_semi").dropDuplicates(["rep"])
 
 
+def low_bytes(sig: str):
+    """The low bytes of a signature's minima as one binary value."""
+    return F.unhex(F.array_join(F.transform(sig, lambda x: F.lpad(F.hex(x.bitwiseAND(F.lit(255))), 2, "0")), ""))
+
+
 def confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int, matches: int) -> DataFrame:
     """(a, b, linked): pairs that agree in enough coordinates, confirmed on the full sets."""
     def side(name: str, column: str) -> DataFrame:
         return texts.select(F.col("rep").alias(name), F.col(column).alias(f"{column}_{name}"))
 
-    agree = F.size(F.filter(F.zip_with("sig_a", "sig_b", lambda x, y: x == y), lambda x: x))
-    near = pairs.join(side("a", "sig"), "a").join(side("b", "sig"), "b").where(agree >= matches).select("a", "b")
+    # the low byte of each minimum: agreeing minima have agreeing bytes, so no pair is lost
+    agree = F.expr("aggregate(sequence(1, length(low_a)), 0, (n, i) -> n + int(substr(low_a, i, 1) = substr(low_b, i, 1)))")
+    near = pairs.join(side("a", "low"), "a").join(side("b", "low"), "b").where(agree >= matches).select("a", "b")
     rows = near.join(side("b", "blob"), "b").join(side("a", "blob"), "a").select("a", "b", "blob_a", "blob_b")
 
     def run(batches):
@@ -177,7 +183,7 @@ def link_classes(posts: DataFrame, classes: DataFrame, docs: DataFrame, words: i
     """(a, b): confirmed links that connect every component of similar classes."""
     spark = posts.sparkSession
     wanted = posts.select("rep").distinct()
-    texts = materialise(blobs(docs, wanted).join(classes.select("rep", "sig"), "rep"), "texts")
+    texts = materialise(blobs(docs, wanted).join(classes.select("rep", low_bytes("sig").alias("low")), "rep"), "texts")
     empty = spark.createDataFrame([], "a long, b long, linked boolean")
     tested, label, active = empty, None, posts.withColumn("component", F.col("rep"))
     for k in range(HUB_ROUNDS + 1):
