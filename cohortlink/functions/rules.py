@@ -254,9 +254,18 @@ def _layout(p):
 
 
 def json_text(col) -> Column:
-    """A JSON string literal of a text (quotes and backslashes escaped)."""
+    """A JSON string literal of a text as Python ``json.dumps`` writes it."""
     c = F.regexp_replace(F.regexp_replace(_c(col), r"\\", r"\\\\"), '"', '\\\\"')
-    return F.concat(F.lit('"'), c, F.lit('"'))
+    short = {"\n": "\\n", "\r": "\\r", "\t": "\\t", "\b": "\\b", "\f": "\\f"}
+
+    def escaped(ch):
+        code = F.lower(F.regexp_replace(F.hex(F.encode(ch, "UTF-16BE")), "(.{4})", r"\\u$1"))
+        out = F.when(ch.rlike("[^ -~]"), code).otherwise(ch)
+        for k, v in short.items():
+            out = F.when(ch == k, F.lit(v)).otherwise(out)
+        return out
+    odd = F.array_join(F.transform(F.split(c, ""), escaped), "")
+    return F.concat(F.lit('"'), F.when(c.rlike(r"[^ -~]"), odd).otherwise(c), F.lit('"'))
 
 
 def json_number_list(col) -> Column:
