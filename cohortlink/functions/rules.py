@@ -189,12 +189,12 @@ def ms_to_s(col) -> Column:
 
 def radians_text(col) -> Column:
     """Degrees -> radians as ``%f`` text (the converter's flip-angle argument)."""
-    return F.format_string("%f", F.radians(_c(col)))
+    return F.when(_c(col).isNotNull(), F.format_string("%f", F.radians(_c(col))))
 
 
 def fixed6(col) -> Column:
     """``%f`` text of a number (the converter's TR/TE/TI arguments)."""
-    return F.format_string("%f", _c(col).cast("double"))
+    return F.when(_c(col).isNotNull(), F.format_string("%f", _c(col).cast("double")))
 
 
 # --------------------------------------------- Python float text (repr)

@@ -71,11 +71,14 @@ select cast(event_id as varchar) as event_id, cast(user_id as varchar) as user_i
 def registry_read(spark, sf):
     ev = tbl(spark, sf, "events").select(*[F.col(c).cast("string") for c in
                                            ("event_id", "user_id", "event_type", "props")])
-    desc = spark.createDataFrame([("id of event", "user", "type", "properties, as JSON")], ev.schema)
-    path = scratch_path(spark, "registry-tsv")
-    desc.unionByName(ev).write.option("header", "true").option("sep", "\t").option("escape", '"').csv(path)
-    return readers.read_registry(spark, path, columns=("event_id", "user_id", "event_type", "props"),
-                                 id_col="event_id").drop("src_order")
+    ev = ev.withColumns({"part": F.pmod(F.hash("event_id"), F.lit(4)), "line": F.lit(1)})
+    desc = spark.createDataFrame([("id of event", "user", "type", "properties, as JSON", p, 0) for p in range(4)],
+                                 ev.schema)
+    path = scratch_path(spark, "registry-tsv")   # four registry files, each with its description line
+    (desc.unionByName(ev).repartition(4, "part").sortWithinPartitions("part", "line").drop("line")
+         .write.partitionBy("part").option("header", "true").option("sep", "\t").option("escape", '"').csv(path))
+    return readers.read_registry(spark, path,
+                                 columns=("event_id", "user_id", "event_type", "props")).drop("src_order")
 
 
 @query("O04", """
@@ -87,7 +90,11 @@ def file_listing_parts(spark, sf):
 
 
 @query("O04", """
-select distinct regexp_replace(url, '/[^/]*$', '') as path from pages
+with recursive d(path) as (
+  select distinct regexp_replace(url, '/[^/]*$', '') from pages
+  union
+  select regexp_replace(path, '/[^/]*$', '') from d where path like '%/%')
+select path from d where path <> '' and right(path, 1) not in ('/', ':')
 """)
 def file_listing_dirs(spark, sf):
     pages = tbl(spark, sf, "pages").select(F.col("url").alias("path"))
@@ -765,12 +772,14 @@ def source_choice(spark, sf):
 
 
 @query("O43", """
-select l_orderkey, l_linenumber, l_extendedprice / 1000 as tr_s, printf('%f', radians(l_discount * 100)) as fa
+select l_orderkey, l_linenumber, l_extendedprice / 1000 as tr_s, printf('%f', l_extendedprice / 1000) as te,
+  printf('%f', radians(l_discount * 100)) as fa
 from lineitem
 """)
 def units_text(spark, sf):
     return tbl(spark, sf, "lineitem").select("l_orderkey", "l_linenumber",
                                              R.ms_to_s("l_extendedprice").alias("tr_s"),
+                                             R.fixed6(R.ms_to_s("l_extendedprice")).alias("te"),
                                              R.radians_text(F.col("l_discount") * 100).alias("fa"))
 
 
@@ -1007,7 +1016,8 @@ def fail_fast_running(spark, sf):
 
 
 @query("O46e", """
-select event_type, strftime(ts, '%Y-%m-%d') as d, count(*) as n, count(*) filter (where value > 50) as k
+select event_type, strftime(ts, '%Y-%m-%d') as d, grouping(event_type, strftime(ts, '%Y-%m-%d')) as grouping_id,
+  count(*) as n, count(*) filter (where value > 50) as k
 from events group by rollup(event_type, strftime(ts, '%Y-%m-%d'))
 """)
 def summary_rollup(spark, sf):

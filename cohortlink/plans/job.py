@@ -38,7 +38,8 @@ def parse(argv=None):
     p.add_argument("--registration")
     p.add_argument("--texts", action="append", default=[], help="glob of motion/bvals/bvecs files")
     p.add_argument("--replies", help="parquet table of delivery replies")
-    p.add_argument("--existing", help="manifest of earlier runs (parquet with a package column)")
+    p.add_argument("--existing", help="outcomes of earlier runs (parquet: package, withdrawn) or any table of "
+                                      "delivered packages; a withdrawn package is made again")
     p.add_argument("--out", required=True)
     p.add_argument("--nowrite", action="store_true")
     return p.parse_args(argv)
@@ -58,17 +59,19 @@ def main(argv=None, spark=None) -> None:
         registration=spark.read.parquet(a.registration) if a.registration else None,
         texts=readers.read_side_text(spark, a.texts) if a.texts else None,
         replies=spark.read.parquet(a.replies) if a.replies else None,
-        existing=(spark.read.parquet(a.existing).selectExpr("package as path") if a.existing else None))
+        existing=outcome.delivered(spark.read.parquet(a.existing)) if a.existing else None)
     now = datetime.datetime.now(datetime.timezone.utc)
     attempt = now.strftime("%Y%m%dT%H%M%S")
     prm = ReleaseParams(modalities=a.modality, site=a.site, site_mode=a.site_mode, dry_run=a.nowrite,
                         attempt=attempt, run_date=now.strftime("%Y-%m-%d"))
     out = build_release(spark, inp, prm)
-    for name in ("manifest", "submission", "payload", "outcomes", "issues", "summary"):
-        outcome.write_partitions(getattr(out, name).withColumn("attempt", outcome.F.lit(attempt)),
-                                 os.path.join(a.out, name), ["attempt"])
-    outcome.append_ledger(out.ledger, os.path.join(a.out, "ledger"), dry_run=a.nowrite, attempt=attempt)
-    drop_scratch(spark, out.extra["scratch"])   # stage tables are no longer needed once outputs are written
+    try:
+        for name in ("runs", "manifest", "submission", "payload", "outcomes", "issues", "summary"):
+            outcome.write_partitions(getattr(out, name).withColumn("attempt", outcome.F.lit(attempt)),
+                                     os.path.join(a.out, name), ["attempt"])
+        outcome.append_ledger(out.ledger, os.path.join(a.out, "ledger"), dry_run=a.nowrite, attempt=attempt)
+    finally:
+        drop_scratch(spark, out.extra["scratch"])   # stage tables are of no use after the writes
     if own:
         spark.stop()
 

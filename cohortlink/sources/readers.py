@@ -56,25 +56,47 @@ def read_catalog(spark: SparkSession, path, fmt: str = "csv",
 
 # ------------------------------------------------------------------ O03
 def read_registry(spark: SparkSession, path, columns: Sequence[str] = tuple(schemas.REGISTRY_COLUMNS),
-                  id_col: str = "image03_id", sep: str = "\t") -> DataFrame:
+                  sep: str = "\t") -> DataFrame:
     """Registry of earlier uploads: TSV with a header and a description line.
 
     All columns are text; quoting as pandas reads it (a quote inside a
-    quoted field is doubled).  The description line is dropped by predicate
-    (its id is not a number).  ``src_order`` keeps the file order, needed
-    for "the last match wins": (file path, block start, row id within the
-    task) orders rows as they stand in the files, whatever the split sizes.
+    quoted field is doubled).  Exactly the description line is dropped: the
+    first row after the header of each file (and a word-for-word repeat of
+    it); a data row with an empty or odd id stays.  One short read per file
+    fetches those lines, the data are scanned once.  ``src_order`` keeps the
+    file order, needed for "the last match wins": (file path, block start,
+    row id within the task) orders rows as they stand in the files, whatever
+    the split sizes.
     """
     df = _read(spark, path, "csv", header="true", sep=sep, inferSchema="false",
                quote='"', escape='"', multiLine="false")
     order = F.struct(F.col("_metadata.file_path").alias("file"),
                      F.col("_metadata.file_block_start").alias("block"),
                      F.monotonically_increasing_id().alias("row"))
-    return (df.select(*[F.col(c) for c in columns], order.alias("src_order"))
-              .where(F.col(id_col).rlike("^[0-9]+$")))
+    rows = df.select(*[F.col(c) for c in columns], order.alias("src_order"))
+    for name in df.inputFiles():
+        one = _read(spark, name, "csv", header="true", sep=sep, inferSchema="false", quote='"', escape='"')
+        first = one.where(F.col("_metadata.file_block_start") == 0).select(
+            *columns, F.col("_metadata.file_path").alias("__file")).head()
+        if first is not None:
+            at = F.col("src_order")
+            same = (at["file"] == first["__file"]) & (at["block"] == 0)
+            for c in columns:
+                same = same & F.col(c).eqNullSafe(F.lit(first[c]))
+            rows = rows.where(~same)
+    return rows
 
 
 # ------------------------------------------------------------------ O04
+def plain_path(path_col, encoded: bool = False):
+    """Path without scheme and authority, the one form in which paths of all
+    sources meet; ``encoded`` also undoes percent-encoding (``_metadata``)."""
+    p = F.col(path_col) if isinstance(path_col, str) else path_col
+    if encoded:
+        p = F.coalesce(F.try_url_decode(F.replace(p, F.lit("+"), F.lit("%2B"))), p)
+    return F.regexp_replace(p, "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?(?=/)", "")
+
+
 def with_path_parts(df: DataFrame, path_col: str = "path") -> DataFrame:
     """Add ``name`` (last part) and ``parent`` (all before the last ``/``)."""
     p = F.col(path_col)
@@ -91,22 +113,28 @@ def file_inventory(spark: SparkSession, root: str) -> DataFrame:
     parquet inventory and read that instead.
     """
     df = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-               .select(F.regexp_replace("path", "^file:", "").alias("path"), "length",
+               .select(plain_path("path").alias("path"), "length",
                        F.col("modificationTime").alias("modification_time")))
     return with_path_parts(df).select("path", "name", "parent", F.lit(False).alias("is_dir"),
                                       "length", "modification_time")
 
 
 def with_directories(files: DataFrame) -> DataFrame:
-    """Listing plus one ``is_dir`` row per folder that holds a file.
+    """Listing plus one ``is_dir`` row per folder above a listed entry, at
+    any depth (a folder may hold only sub-folders).
 
     A listing of files sees a folder only through its files (K24); rows
-    already marked ``is_dir`` are kept.  Only the parents are de-duplicated
-    (a partial aggregate) and anti-joined with the folder rows already
-    present; the file rows themselves are never shuffled.
+    already marked ``is_dir`` are kept.  Only the distinct parents are
+    expanded to their ancestors, de-duplicated (partial aggregates) and
+    anti-joined with the folder rows already present; the file rows
+    themselves are never shuffled.  The root and a bare ``scheme:`` are no
+    folders.
     """
     known = files.where(F.col("is_dir")).select("path")
-    dirs = (files.where(~F.col("is_dir")).select(F.col("parent").alias("path")).distinct()
+    parts = F.split(F.col("parent"), "/")
+    above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, 1, i), "/"))
+    dirs = (files.select("parent").distinct().select(F.explode(above).alias("path")).distinct()
+                 .where((F.col("path") != "") & ~F.col("path").rlike("[/:]$"))
                  .join(known, "path", "left_anti")
                  .transform(with_path_parts)
                  .select("path", "name", "parent", F.lit(True).alias("is_dir"),
@@ -176,13 +204,14 @@ def parse_motion(df: DataFrame, value_col: str = "value") -> DataFrame:
 
 def read_motion(spark: SparkSession, paths) -> DataFrame:
     """Motion text files, one row per line with its file path."""
-    df = spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), "value")
+    df = spark.read.text(paths).select(plain_path("_metadata.file_path", encoded=True).alias("path"), "value")
     return parse_motion(df)
 
 
 # ------------------------------------------------------------------ O08
 def read_side_text(spark: SparkSession, paths) -> DataFrame:
-    """Whole text files (bvals, bvecs) carried unchanged, with their size."""
+    """Whole text files (bvals, bvecs) carried unchanged, with their size;
+    ``path`` has the form of the inventory's (``plain_path``)."""
     df = spark.read.text(paths, wholetext=True)
-    return df.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"),
+    return df.select(plain_path("_metadata.file_path", encoded=True).alias("path"), F.col("value").alias("text"),
                      F.octet_length("value").alias("size"), *[c for c in df.columns if c != "value"])

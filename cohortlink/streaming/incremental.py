@@ -3,12 +3,14 @@
 The studied tool is run again and again on lists of subjects and skips a
 package that already exists.  Here a Structured Streaming source watches
 the cohort folder; each micro-batch of new cohort rows goes through
-``build_release`` with the packages already in the manifest table as
-``existing`` (E18, left-anti); the manifest, issues and (outside a dry run)
-the ledger are written.  The stream's checkpoint makes a restarted job
-continue after the last committed batch; every output is partitioned by
-the batch id and written with dynamic partition overwrite, so a replayed
-batch replaces its own rows instead of adding them twice.
+``build_release`` with the packages delivered by earlier batches as
+``existing`` (E18, left-anti); the manifest, issues, outcomes and (outside a
+dry run) the ledger are written.  A withdrawn package is not delivered, so a
+later batch makes it again.  The stream's checkpoint lies below the output
+folder and makes a restarted job continue after the last committed batch;
+every output is partitioned by the batch id and written with dynamic
+partition overwrite.  A replayed batch looks only at batches before it, so it
+makes its rows again and replaces them.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,11 +28,15 @@ from ..plans.pipeline import ReleaseInputs, ReleaseParams, build_release
 from ..session import drop_scratch
 
 
-def _existing_packages(spark: SparkSession, manifest_path: str) -> DataFrame | None:
+def _delivered_before(spark: SparkSession, outcomes_path: str, batch_id: int) -> DataFrame | None:
+    """Packages delivered by the batches before ``batch_id``; None before the first one."""
     try:
-        return spark.read.parquet(manifest_path).select(F.col("package").alias("path")).distinct()
-    except Exception:  # noqa: BLE001 - no manifest yet
-        return None
+        earlier = spark.read.parquet(outcomes_path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    return outcome.delivered(earlier.where(F.col("batch_id") < batch_id))
 
 
 def release_stream(spark: SparkSession, cohort_dir: str, inputs: Callable[[DataFrame], ReleaseInputs],
@@ -38,23 +45,26 @@ def release_stream(spark: SparkSession, cohort_dir: str, inputs: Callable[[DataF
     """Start the incremental release; returns the StreamingQuery.
 
     ``inputs(cohort_batch)`` returns the other (static) inputs with the
-    batch as cohort.  Outputs go to ``out_dir``/{manifest,issues,ledger}.
+    batch as cohort.  Outputs go to ``out_dir``/{manifest,issues,ledger,outcomes},
+    the stream's state to ``out_dir``/stream-state by default.
     """
-    manifest_path = os.path.join(out_dir, "manifest")
-    issues_path = os.path.join(out_dir, "issues")
-    ledger_path = os.path.join(out_dir, "ledger")
-    ckpt = checkpoint_location or os.path.join(spark.sparkContext.getCheckpointDir() or out_dir, "stream-state")
+    outcomes_path = os.path.join(out_dir, "outcomes")
+    ckpt = checkpoint_location or os.path.join(out_dir, "stream-state")
 
     def process(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
         inp = inputs(batch)
-        inp.existing = _existing_packages(spark, manifest_path)
+        inp.existing = _delivered_before(spark, outcomes_path, batch_id)
         out = build_release(spark, inp, params)
-        outcome.write_partitions(out.manifest.withColumn("batch_id", F.lit(batch_id)), manifest_path, ["batch_id"])
-        outcome.write_partitions(out.issues.withColumn("batch_id", F.lit(batch_id)), issues_path, ["batch_id"])
-        outcome.append_ledger(out.ledger, ledger_path, dry_run=params.dry_run, attempt=f"batch-{batch_id}")
-        drop_scratch(spark, out.extra["scratch"])   # the batch's stage tables are done with
+        try:
+            outcome.append_ledger(out.ledger, os.path.join(out_dir, "ledger"), dry_run=params.dry_run,
+                                  attempt=f"batch-{batch_id}")
+            for name in ("manifest", "issues", "outcomes"):   # outcomes last: they make packages count as existing
+                outcome.write_partitions(getattr(out, name).withColumn("batch_id", F.lit(batch_id)),
+                                         os.path.join(out_dir, name), ["batch_id"])
+        finally:
+            drop_scratch(spark, out.extra["scratch"])   # the batch's stage tables are done with
 
     reader = spark.readStream.schema(schemas.COHORT).option("header", "true").csv(cohort_dir)
     writer = reader.writeStream.foreachBatch(process).option("checkpointLocation", ckpt)
