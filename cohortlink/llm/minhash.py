@@ -16,7 +16,13 @@ Groups of near copies are not expanded to all pairs: classes under a pair are
 first compared with one hub per pair (several rounds, another hub each time),
 then only classes that are still in different components are compared with
 each other.  A pair within one component cannot change the result, so no link
-between components is lost.
+between components is lost.  That last comparison keeps a pair only if it can
+reach the similarity: two sets share at most the smaller count of their
+frequent shingles (those that more than ``RARE`` of the compared classes hold)
+plus the rare ones that both hold.  Pairs without a common rare shingle are
+bounded inside the join on the coordinate-value pair; pairs with one are found
+by a join on the rare shingles and counted.  The bound is exact for every
+``RARE``, which only moves work between the two.
 
 Defined cases: null or empty text has an empty set and links with nothing;
 one word is one shingle; equal texts share a class; rows with a null id keep
@@ -41,6 +47,8 @@ SHINGLE = 2
 SIMILARITY = 80
 #: rounds of comparing with hubs before the remaining pairs are compared
 HUB_ROUNDS = 3
+#: a shingle that at most so many compared classes hold is rare
+RARE = 64
 
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -195,7 +203,7 @@ def link_classes(posts: DataFrame, classes: DataFrame, docs: DataFrame, words: i
             active = materialise(active.join(mixed.select("token"), "token"), "active")
             if active.isEmpty():
                 break
-        pairs = hub_pairs(active, k) if k < HUB_ROUNDS else cross_pairs(active)
+        pairs = hub_pairs(active, k) if k < HUB_ROUNDS else cross_pairs(active, texts, words, percent)
         near = F.col("m") * 100 >= F.col("n") * percent, F.col("n") * 100 >= F.col("m") * percent
         pairs = pairs.where(near[0] & near[1]).select(
             F.least("hub", "rep").alias("a"), F.greatest("hub", "rep").alias("b")).distinct()
@@ -215,12 +223,44 @@ def hub_pairs(active: DataFrame, turn: int) -> DataFrame:
     return active.join(hubs, "token").where("component <> hub_component").select("hub", "m", "rep", "n")
 
 
-def cross_pairs(active: DataFrame) -> DataFrame:
-    """Classes under a token that are still in different components: every class outside the token's
-    largest component with every class of another component."""
+def shingle_rows(texts: DataFrame, words: int) -> DataFrame:
+    """(rep, s): the distinct shingles of each text."""
+    def run(batches):
+        z = zstandard.ZstdDecompressor()
+        for b in batches:
+            for rep, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                s = shingle_set(z.decompress(blob), words)
+                for k in range(0, len(s), 65536):
+                    part = s[k:k + 65536].view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), rep)), pa.array(part)], ["rep", "s"])
+    return texts.select("rep", "blob").mapInArrow(run, "rep long, s long")
+
+
+def cross_pairs(active: DataFrame, texts: DataFrame, words: int, percent: int, rare: int | None = None) -> DataFrame:
+    """Classes under a token that are still in different components and can be similar: every class outside
+    the token's largest component with every class of another component."""
+    rare = RARE if rare is None else rare
+    reps = active.select("rep", "n", "component").distinct()
+    held = materialise(shingle_rows(texts.join(reps.select("rep"), "rep", "left_semi"), words), "shingles")
+    often = held.groupBy("s").agg(F.count("*").alias("c")).where(F.col("c") > rare).select("s")
+    low = materialise(held.join(often, "s", "left_anti"), "rare_shingles")
+    reps = materialise(reps.join(low.groupBy("rep").agg(F.count("*").alias("low")), "rep", "left").select(
+        "rep", "n", "component", (F.col("n") - F.coalesce("low", F.lit(0))).alias("frequent")), "shared_counts")
+
+    def possible(both):
+        return 100 * both >= percent * (F.col("n") + F.col("m") - both)
+
+    most_shared = F.least("frequent", "hub_frequent")
+    hub = [F.col("rep").alias("hub"), F.col("n").alias("m"), F.col("component").alias("hub_component"),
+           F.col("frequent").alias("hub_frequent")]
+    active = active.select("token", "rep").join(reps, "rep")
     sizes = active.groupBy("token", "component").agg(F.count("*").alias("c"))
     most = sizes.groupBy("token").agg(F.max(F.struct("c", "component")).alias("x")).select(
         "token", F.col("x.component").alias("largest"))
-    few = active.join(most, "token").where("component <> largest").select(
-        "token", F.col("rep").alias("hub"), F.col("n").alias("m"), F.col("component").alias("hub_component"))
-    return active.join(few, "token").where("component <> hub_component").select("hub", "m", "rep", "n")
+    few = active.join(most, "token").where("component <> largest").select("token", *hub)
+    apart = active.join(few, "token").where(F.col("component") != F.col("hub_component")).where(possible(most_shared))
+    low = low.join(reps, "rep")
+    sharing = low.join(low.select("s", *hub), "s").where("rep < hub and component <> hub_component").groupBy(
+        "hub", "m", "rep", "n", most_shared.alias("shared")).agg(F.count("*").alias("k"))
+    names = ["hub", "m", "rep", "n"]
+    return apart.select(*names).unionAll(sharing.where(possible(F.col("shared") + F.col("k"))).select(*names))
