@@ -20,8 +20,9 @@ between components is lost.  That last comparison keeps a pair only if it can
 reach the similarity: two sets share at most the smaller count of their
 frequent shingles (those that more than ``RARE`` of the compared classes hold)
 plus the rare ones that both hold.  Pairs without a common rare shingle are
-bounded inside the join on the coordinate-value pair; pairs with one are found
-by a join on the rare shingles and counted.  The bound is exact for every
+bounded inside the join on the coordinate-value pair and leave it at the first
+such pair they share; pairs with one are found by a join on the rare shingles
+and counted.  The bound is exact for every
 ``RARE``, which only moves work between the two.
 
 Defined cases: null or empty text has an empty set and links with nothing;
@@ -253,12 +254,16 @@ def cross_pairs(active: DataFrame, texts: DataFrame, words: int, percent: int, r
     most_shared = F.least("frequent", "hub_frequent")
     hub = [F.col("rep").alias("hub"), F.col("n").alias("m"), F.col("component").alias("hub_component"),
            F.col("frequent").alias("hub_frequent")]
-    active = active.select("token", "rep").join(reps, "rep")
+    # a class's posted tokens (at most COORDS): two classes are paired under the smallest they share
+    own = active.groupBy("rep").agg(F.sort_array(F.collect_list("token")).alias("own"))
+    active = active.select("token", "rep").join(reps.join(own, "rep"), "rep")
     sizes = active.groupBy("token", "component").agg(F.count("*").alias("c"))
     most = sizes.groupBy("token").agg(F.max(F.struct("c", "component")).alias("x")).select(
         "token", F.col("x.component").alias("largest"))
-    few = active.join(most, "token").where("component <> largest").select("token", *hub)
-    apart = active.join(few, "token").where(F.col("component") != F.col("hub_component")).where(possible(most_shared))
+    few = active.join(most, "token").where("component <> largest").select("token", *hub, F.col("own").alias("hub_own"))
+    first = F.get(F.array_intersect("own", "hub_own"), F.lit(0))
+    apart = active.join(few, "token").where((F.col("component") != F.col("hub_component")) & possible(most_shared)
+                                            & (first == F.col("token")))
     low = low.join(reps, "rep")
     sharing = low.join(low.select("s", *hub), "s").where("rep < hub and component <> hub_component").groupBy(
         "hub", "m", "rep", "n", most_shared.alias("shared")).agg(F.count("*").alias("k"))
