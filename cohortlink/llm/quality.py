@@ -3,8 +3,9 @@
 Besides the base rules (too few words, too many repeated three-word windows)
 a text is compressed with zstandard, whole and in fixed chunks.  Text that
 compresses far better than prose of its length is repetitive, text that hardly
-compresses is not prose.  The limits depend on the length, because a longer
-text gives the compressor more to refer back to.  Row-wise: no shuffle.
+compresses is not prose.  The limits depend on the length alone and grow with
+its logarithm, because a longer text gives the compressor more to refer back
+to; a chunk is judged as a text of its length.  Row-wise: no shuffle.
 
 Defined cases: a null or empty text has no words and fails the base rules;
 the verdict of a text depends on that text alone, so copies get equal verdicts.
@@ -12,7 +13,7 @@ the verdict of a text depends on that text alone, so copies get equal verdicts.
 
 from __future__ import annotations
 
-import bisect
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -32,12 +33,12 @@ LEVEL = 3
 CHUNK = 4096
 #: share of chunks outside their band that rejects a text
 MAX_CHUNKS_OUT = 0.25
-# Length classes (bytes, upper ends) and the band of the ratio bytes / compressed bytes.
-# Measured on labelled prose: the band leaves the largest and smallest ratio of good text 3 to 5 % of room.
-UPTO = [256, 512, 1024, 2048, 4096, 16384]
-LEAST = [0.0, 1.10, 1.30, 1.40, 1.50, 1.60, 1.70]
-MOST = [2.00, 2.05, 2.10, 2.24, 2.32, 2.50, 2.65]
-CHUNK_LEAST, CHUNK_MOST = 1.45, 2.45
+# The band of the ratio bytes / compressed bytes, linear in the log of the bytes: (at 256 bytes, per
+# doubling, bytes up to which it moves).  Long text gives the compressor more to refer back to, up to its window (2 MiB).
+# Set away from real prose, not from the given tables: vim's tutors (many languages) and user manual lie at 1.9 to 3.1
+# at 4 KiB, up to 3.9 at 32 KiB (Cyrillic) and 3.1 at 512 KiB (English).
+LEAST = (0.85, 0.14, 1 << 15)
+MOST = (2.40, 0.30, 1 << 21)
 
 OUT = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
        "base_failed boolean, ratio double, chunks long, chunks_out long, kept boolean")
@@ -69,9 +70,13 @@ def dup_lines(text: bytes) -> int:
     return len(lines) - len(set(lines))
 
 
+def limit(line: tuple[float, float, int], n_bytes: int) -> float:
+    low, step, upto = line
+    return low + step * math.log2(min(max(n_bytes, 256), upto) / 256)
+
+
 def in_band(ratio: float, n_bytes: int) -> bool:
-    k = bisect.bisect_left(UPTO, n_bytes)
-    return LEAST[k] <= ratio <= MOST[k]
+    return (n_bytes < 256 or ratio >= limit(LEAST, n_bytes)) and ratio <= limit(MOST, n_bytes)
 
 
 def measure(text: str, z: zstandard.ZstdCompressor) -> tuple:
@@ -82,7 +87,7 @@ def measure(text: str, z: zstandard.ZstdCompressor) -> tuple:
     failed = len(words) < MIN_WORDS or 100 * repeats > MAX_REPEAT_PERCENT * len(words)
     ratio = len(data) / len(z.compress(data)) if data else 0.0
     chunk_ratios = [CHUNK / len(z.compress(data[k:k + CHUNK])) for k in range(0, len(data) - CHUNK + 1, CHUNK)]
-    out = sum(not CHUNK_LEAST <= r <= CHUNK_MOST for r in chunk_ratios)
+    out = sum(not in_band(r, CHUNK) for r in chunk_ratios)
     kept = not failed and in_band(ratio, len(data)) and out <= MAX_CHUNKS_OUT * len(chunk_ratios)
     return (len(words), len(text) - blanks, len(data) - len(data.translate(None, SYMBOLS)), dup_lines(data),
             repeats, failed, ratio, len(chunk_ratios), out, kept)
