@@ -1,7 +1,7 @@
 """Operator 9: MinHash near-duplicates by a signature-coordinate inverted join.
 
-Every text becomes the set of its distinct two-word shingles and a signature of
-``COORDS`` minima.  Texts with equal sets are one *class*, kept under its
+Every text becomes the set of its distinct shingles (``words`` words, two by
+default) and a signature of ``COORDS`` minima.  Texts with equal sets are one *class*, kept under its
 smallest id.  A class is posted under its (coordinate, value) pairs, rarest
 first.  Two signatures that agree in at least ``MATCHES`` coordinates share a
 pair among the first ``size - MATCHES + 1`` posted pairs of each (prefix

@@ -14,6 +14,10 @@ from cohortlink.llm import bpe, line_dedup, minhash, packing, pii, quality
 from cohortlink.llm.common import materialise, prepare, table
 
 
+#: words of a shingle in the near-duplicate stage (two words are the contract of the op9 query only)
+STAGE_SHINGLE = 5
+
+
 def with_length(docs: DataFrame) -> DataFrame:
     """n_chars follows the text."""
     return docs.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else docs
@@ -32,9 +36,9 @@ def line_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group."""
+    """One document of each near-duplicate group (0.8 similar on five-word shingles)."""
     prepare(spark)
-    found = minhash.near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("near_id")).distinct()
+    found = minhash.near_duplicates(docs, words=STAGE_SHINGLE).where("not kept").select(F.col("doc_id").alias("near_id")).distinct()
     return docs.join(found, F.col("doc_id") == F.col("near_id"), "left_anti").select(*docs.columns)
 
 
