@@ -7,8 +7,9 @@ word before and the word after).  Instances that overlap a base span are seeds.
 A pattern's confidence is the summed score of the instances it surrounds over
 all places of the corpus where its words occur, an instance's score the best
 confidence of its patterns; both are recomputed for a few rounds on the
-pattern-instance graph.  Patterns of high confidence and support then mark the
-identifiers they surround (kind ``context``).
+pattern-instance graph.  A pattern that touches no seed enters through instances
+that an earlier round found.  Patterns of high confidence and support then mark
+the identifiers they surround (kind ``context``).
 
 DataFrame and SQL functions only.  Patterns are written so that no text makes
 the regular expressions backtrack (possessive, anchored at run starts).
@@ -125,8 +126,7 @@ def confident_patterns(docs: DataFrame, occ: DataFrame) -> DataFrame:
     """(pattern): those whose confidence and support are high after the scoring rounds."""
     edges = occ.select("instance", "seed", F.explode("patterns").alias("pattern")).groupBy("pattern", "instance").agg(
         F.count("*").alias("n"), F.max("seed").alias("seed"))
-    often = edges.groupBy("pattern").agg(F.count("*").alias("kinds"), F.count_if("seed").alias("seeds")).where(
-        (F.col("kinds") >= SUPPORT) & (F.col("seeds") > 0)).select("pattern")
+    often = edges.groupBy("pattern").agg(F.count("*").alias("kinds")).where(f"kinds >= {SUPPORT}").select("pattern")
     often = materialise(often, "patterns")
     edges = materialise(edges.join(often, "pattern", "left_semi"), "edges")
     total = materialise(places(docs, often), "places")
