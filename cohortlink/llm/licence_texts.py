@@ -99,6 +99,40 @@ TEXTS = {
     "Apache-2.0": [_APACHE_HEADER],
 }
 
+# SHA-256 of the canonical forms (licences.canonical, whole) of full texts too long to keep here.
+DIGESTS = {
+    "Apache-2.0": [
+        "bd6e0bb2a535a018674c5c9521be43b0c1a0c816db3a1dfd87cc9504db8f9573",  # as published
+        "6c9d60c282be8374612cb59c0c33300b8b6ff294ed2801ae6f44e1de748ab4d7",  # to the end of the terms
+        "584bbdda8020980c9248046c862d50b7ed0858656c4bbe97cd5e1f8b4e75b3e8",  # up to that line
+        "f1a421c0e9b12a67e573b222e2726ea50ae852ad0271cb7553f0a39689a9608c",  # appendix line filled in
+    ],
+    "GPL-2.0": [
+        "e390c1dfd2eb05d6031d675ce5eea9d124887764f58c73216b5cc536bfb9f451",  # as published
+        "8fca74341977f457e4d85e6c3caa95aba964f5a430eb9de55e765cb0f61999e3",  # to the end of the terms
+        "3a4ecab283fc8a08f342af15563b59e4d37598f15c293d5d71f0b6fc3250252e",  # up to that line
+    ],
+    "GPL-3.0": [
+        "5a281f634db6b415a4491779bb7121c752940f250ef622ab9ab829920e8cfbb6",  # as published
+        "388a643e6fbbd1f8b6c82d2a64f55e79e7a471223e299e683ae03b569bfcbdc4",  # to the end of the terms
+        "847fb0dcacf5f99b4b6a5328fb532e563bf310aaf8e689f21b94b321c35b5c76",  # up to that line
+    ],
+    "LGPL-2.1": [
+        "beebb7d0f5ba0a4a1dea2ce270edee98c9ec8508ff67599a990066f5942a9d18",  # as published
+        "761cc340754722dfbd440ecaa7b20b64853cefe4359cc5f5ead18ecba8979dc2",  # to the end of the terms
+        "db030a5a9401cb57eee47a46d91019328998efbbe5916bf90ce9bb41b4a3296e",  # up to that line
+    ],
+    "LGPL-3.0": [
+        "dd538d15d532339d4a394323937d54825be6b2224b8e1985cf9c9e707c966d9c",  # as published
+    ],
+    "MPL-2.0": [
+        "9e79a7d513376f6fa1500e4df4f6276c6e7e61c5c3e28dcdb1acee24033acc56",  # as published
+    ],
+    "CC0-1.0": [
+        "891968ade68c0a40cc2b1974e64ce18e87b058a90c18b0d9449bbd898d172b1d",  # as published
+    ],
+}
+
 # Names under which notices call a licence, and its class.
 NAMES = {
     "Apache-2.0": ("permissive", ["Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License"]),
@@ -117,7 +151,8 @@ NAMES = {
     "CC-BY-NC-4.0": ("restricted", ["CC BY-NC 4.0", "Creative Commons Attribution-NonCommercial 4.0 International License"]),
     "CC-BY-ND-4.0": ("restricted", ["CC BY-ND 4.0", "Creative Commons Attribution-NoDerivatives 4.0 International License"]),
 }
-OTHER_CLASSES = {"0BSD": "permissive", "Zlib": "permissive", "Unlicense": "permissive", "all-rights-reserved": "restricted"}
+OTHER_CLASSES = {"0BSD": "permissive", "Zlib": "permissive", "Unlicense": "permissive", "CC0-1.0": "permissive",
+                 "all-rights-reserved": "restricted"}
 
 # Sentences in which a notice names a licence.
 SENTENCES = [

@@ -5,7 +5,8 @@ punctuation and blanks to single blanks, equivalent spellings to one.  Its
 digest is looked up among the digests of known licences, an equi-join with a
 table of fixed size.  Whole documents are looked up as licence texts, each of
 their lines as a licence notice (a line's copyright words are kept, so that
-"All rights reserved." is found).
+"All rights reserved." is found).  Short texts are kept as text, the full texts
+of the long licences as fixed digests.
 
 Only texts that contain one of CUES are brought to canonical form.  Every
 known text has one of them, and the canonical form never makes one up, so no
@@ -23,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlink.llm.common import materialise, narrow, prepare
-from cohortlink.llm.licence_texts import NAMES, OTHER_CLASSES, SENTENCES, TEXTS
+from cohortlink.llm.licence_texts import DIGESTS, NAMES, OTHER_CLASSES, SENTENCES, TEXTS
 
 CUES = "licen[cs]|permission|redistribution|reserved|released|distributed|available|unencumbered|warranty"
 # Spellings that count as one.
@@ -58,7 +59,8 @@ def known(spark: SparkSession) -> DataFrame:
     """(digest, licence, whole): fixed size."""
     rows = spark.createDataFrame(known_rows(), "licence string, text string, whole boolean")
     both = F.when(F.col("whole"), canonical(F.col("text"), True)).otherwise(canonical(F.col("text"), False))
-    return rows.select(F.sha2(both, 256).alias("digest"), "whole", "licence").groupBy("digest", "whole").agg(
+    full = spark.createDataFrame([(x, True, k) for k, xs in DIGESTS.items() for x in xs], "digest string, whole boolean, licence string")
+    return rows.select(F.sha2(both, 256).alias("digest"), "whole", "licence").unionAll(full).groupBy("digest", "whole").agg(
         F.min("licence").alias("licence"))
 
 
@@ -98,7 +100,7 @@ def _sql_canonical(text: str, whole: bool) -> str:
 
 
 def oracle_sql() -> str:
-    """The scan of ``documents`` in DuckDB: the same rules, without the cue filter."""
+    """The scan of ``documents`` in DuckDB: the same rules, without the cue filter and without DIGESTS."""
     quoted = lambda x: "'" + x.replace("'", "''") + "'"
     rows = ", ".join(f"({quoted(k)}, {quoted(t)}, {str(w).lower()})" for k, t, w in known_rows())
     closed = ", ".join(quoted(k) for k, c in {**{k: c for k, (c, _) in NAMES.items()}, **OTHER_CLASSES}.items() if c == "restricted")
