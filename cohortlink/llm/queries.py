@@ -11,13 +11,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlink.llm import (bpe, embed_dedup, licences, line_dedup, minhash, packing, pii, quality, suffix_dedup,
+from cohortlink.llm import (bpe, embed_dedup, fim, licences, line_dedup, minhash, packing, pii, quality, suffix_dedup,
                             toxicity)
 from cohortlink.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {"op5_licence_digest_lookup": licences.oracle_sql(),
-                       "op6_line_deletion_neighbourhood": line_dedup.ORACLE_SQL}
+                       "op6_line_deletion_neighbourhood": line_dedup.ORACLE_SQL,
+                       "op11_fim_chunk_memo": fim.ORACLE_SQL}
 
 
 def query(fn):
@@ -87,3 +88,9 @@ def op9_minhash_coordinate_join(spark, sf_dir):
 def op10_bpe_round_trip(spark, sf_dir):
     """Every document encoded and decoded by the streaming transducer."""
     return bpe.round_trip(table(spark, sf_dir, "documents"), bpe.tokenizer_path())
+
+
+@query
+def op11_fim_chunk_memo(spark, sf_dir):
+    """Every document cut and reordered for fill-in-middle training."""
+    return fim.digests(table(spark, sf_dir, "documents"))
