@@ -11,8 +11,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlink.llm import (bpe, embed_dedup, fim, licences, line_dedup, minhash, packing, pii, quality, suffix_dedup,
-                            toxicity)
+from cohortlink.llm import (align, bpe, embed_dedup, fim, licences, line_dedup, minhash, packing, pii, quality,
+                            suffix_dedup, toxicity)
 from cohortlink.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,9 @@ def op10_bpe_round_trip(spark, sf_dir):
 def op11_fim_chunk_memo(spark, sf_dir):
     """Every document cut and reordered for fill-in-middle training."""
     return fim.digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_align_pointer_jumping(spark, sf_dir):
+    """Every document tokenized twice, aligned, and its links scored by corpus-wide counts."""
+    return align.score(table(spark, sf_dir, "documents"))
