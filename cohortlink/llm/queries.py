@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortlink.llm import (align, bpe, embed_dedup, fim, licences, line_dedup, minhash, packing, pii, quality,
-                            suffix_dedup, toxicity)
+                            shard, suffix_dedup, toxicity)
 from cohortlink.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +100,9 @@ def op11_fim_chunk_memo(spark, sf_dir):
 def op12_align_pointer_jumping(spark, sf_dir):
     """Every document tokenized twice, aligned, and its links scored by corpus-wide counts."""
     return align.score(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_shard_hilbert_curve(spark, sf_dir):
+    """Every document's shard and slot: runs of equal row counts along a Hilbert curve."""
+    return shard.assign(table(spark, sf_dir, "documents"))
