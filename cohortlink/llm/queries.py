@@ -19,6 +19,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {"op5_licence_digest_lookup": licences.oracle_sql(),
                        "op6_line_deletion_neighbourhood": line_dedup.ORACLE_SQL,
                        "op11_fim_chunk_memo": fim.ORACLE_SQL}
+#: queries without SQL, and the test module that holds their brute-force version
+WITHOUT_SQL = {"op1_embedding_int8_tiles": "test_near_dup", "op2_suffix_array_dedup": "test_suffix_dedup",
+               "op3_pii_context_bootstrap": "test_pii", "op4_toxicity_weak_supervision": "test_toxicity",
+               "op7_quality_compression_bands": "test_quality", "op8_pack_karmarkar_karp": "test_packing",
+               "op9_minhash_coordinate_join": "test_near_dup", "op10_bpe_round_trip": "test_bpe",
+               "op12_align_pointer_jumping": "test_align", "op13_shard_hilbert_curve": "test_shard",
+               "pipeline": "test_pipeline"}
 
 
 def query(fn):
