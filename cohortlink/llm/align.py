@@ -17,9 +17,8 @@ to their blocks, so a pair that all documents share is one row a block, not one
 a document; a block is closed at ``BLOCK_DOCS`` documents or ``BLOCK_PAIRS``
 (document, pair) rows, which bounds what a task holds.  Nothing is broadcast.
 
-Both tokenizers are run on the units of a text between single blanks, each
-distinct unit once per worker (bounded memo): no piece of either reaches across
-such a blank, so the ids are those of the whole text.
+Long texts are encoded in parts cut at single blanks: no piece of either
+tokenizer reaches across such a blank, so the ids are those of the whole text.
 
 Defined cases: a null or empty text, or one whose joined token bytes on either
 side differ from blank + text (U+2581 in the text, for instance) has no tokens:
@@ -30,9 +29,9 @@ null id keeps its row; an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import json
 import re
-from collections import defaultdict
 from typing import NamedTuple
 
 import numpy as np
@@ -45,84 +44,88 @@ from cohortlink.llm.common import materialise, narrow, prepare
 
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 BLOCK_DOCS, BLOCK_PAIRS = 4096, 1 << 20
-#: units kept by a worker's memo in one generation, and the longest unit that is kept
-MEMO, MEMO_CHARS = 100_000, 64
-#: ids are below 2 ** ID_BITS; a pair is one long
+#: longer texts are encoded in parts of about so many characters
+LONG = 1 << 16
+#: ids are below 2 ** ID_BITS; a pair is one long, and a batch has below 2 ** 15 texts
 ID_BITS = 24
+PAIR = (1 << 2 * ID_BITS) - 1
+# fixed value: the byte-level tokenizer's word pattern
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 BLANK = re.compile(r"(?<! ) (?=\S)")
 
 
-class Unit(NamedTuple):
-    """Ids and byte lengths of one unit's tokens on both sides."""
-    a: list[int]
-    a_len: list[int]
-    b: list[int]
-    b_len: list[int]
-
-
 class Tokenizers:
-    """Both tokenizers of one worker, run on units."""
+    """Both tokenizers of one worker."""
 
-    def __init__(self, a_path: str, b_path: str, memo: int = MEMO):
+    def __init__(self, a_path: str, b_path: str):
         import sentencepiece
-        import tokenizers
 
-        self.a = tokenizers.Tokenizer.from_file(a_path)
-        self.a.encode_special_tokens = True
-        self.a.no_truncation()
-        self.a.no_padding()
-        self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         with open(a_path, encoding="utf-8") as f:
-            vocab = json.load(f)["model"]["vocab"]
+            spec = json.load(f)
+        vocab = spec["model"]["vocab"]
         byte_of = {c: b for b, c in enumerate(byte_alphabet())}
-        self.a_bytes = defaultdict(bytes, {i: bytes(byte_of[c] for c in t) for t, i in vocab.items()})
+        a_bytes = {i: bytes(byte_of[c] for c in t) for t, i in vocab.items()}
+        self.a = _by_rank(spec, a_bytes) or _by_library(a_path)
+        self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         self.b_bytes = [self._piece(i) for i in range(self.b.get_piece_size())]
-        # the split at single blanks is only exact if no piece goes on into a blank
+        self.a_len = np.array([len(a_bytes.get(i, b"")) for i in range(max(a_bytes) + 1)])
+        self.b_len = np.array([len(p) for p in self.b_bytes])
+        # cuts at single blanks are only exact if no piece goes on into a blank
         self.whole = any(b" " in p.lstrip(b" ") for p in self.b_bytes)
-        self.a_names = _names(max(vocab.values()) + 1, ",|")
-        self.b_names = _names(len(self.b_bytes), [",", ";", ""])
-        self.memo, self.new, self.old = memo, {}, {}
+        self.a_names, self.b_names = _names(len(self.a_len), ",|"), _names(len(self.b_len), [",", ";", ""])
 
     def _piece(self, i: int) -> bytes:
         p = self.b.id_to_piece(i)
         return bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
 
-    def units(self, text: str) -> list[str]:
-        """The text's parts; each is encoded behind a blank."""
-        if not text or self.whole:
-            return [text] if text else []
-        first, *rest = BLANK.split(" " + text)
-        return ([first[1:]] if first else []) + rest
-
-    def encode(self, texts: list[str]) -> list[list[Unit | None]]:
-        split = [self.units(t) for t in texts]
-        wanted = dict.fromkeys(u for units in split for u in units)
-        known: dict[str, Unit | None] = {}
-        missing = []
-        for u in wanted:
-            if u in self.new:
-                known[u] = self.new[u]
-            elif u in self.old:
-                known[u] = self.new[u] = self.old[u]
-            else:
-                missing.append(u)
-        if missing:
-            coded = self.a.encode_batch_fast([" " + u for u in missing], add_special_tokens=False)
-            for u, e, b in zip(missing, coded, self.b.encode(missing, num_threads=1)):
-                known[u] = found = self._unit(u, e.ids, b)
-                if len(u) <= MEMO_CHARS:
-                    self.new[u] = found
-        if len(self.new) > self.memo:
-            self.old, self.new = self.new, {}
-        return [[known[u] for u in units] for units in split]
-
-    def _unit(self, unit: str, a: list[int], b: list[int]) -> Unit | None:
-        """None if either side's bytes are not those of blank + unit."""
-        want = (" " + unit).encode()
-        a_parts, b_parts = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        if b"".join(a_parts) != want or b"".join(b_parts) != want or not all(a_parts) or not all(b_parts):
-            return None
-        return Unit(a, list(map(len, a_parts)), b, list(map(len, b_parts)))
+    def parts(self, text: str) -> list[str]:
+        """The text cut at blanks about every LONG characters; each part is encoded behind a blank."""
+        out, at = [], 0
+        while len(text) - at > LONG and not self.whole and (cut := BLANK.search(text, at + LONG)):
+            out.append(text[at:cut.start()])
+            at = cut.end()
+        return out + [text[at:]] if text else []
+
+    def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
+        """A and B ids of each text, none where B's bytes are not those of blank + text (A's always are)."""
+        split = [self.parts(t) for t in texts]
+        b_ids = iter(self.b.encode([p for parts in split for p in parts], num_threads=1))
+        out = []
+        for parts in split:
+            a, b = [], []
+            for p in parts:
+                found = next(b_ids)
+                b += found if b"".join(map(self.b_bytes.__getitem__, found)) == (" " + p).encode() else [None]
+            if b and None not in b:
+                for p in parts:
+                    a += self.a(" " + p)
+            out.append((a, b if a else []))
+        return out
+
+
+def _by_rank(spec: dict, a_bytes: dict[int, bytes]):
+    """A's encoder, if merges make ids in order: then the lowest id is the first merge, and the file's own
+    vocabulary serves as a table of ranks, whose encoder returns nothing but ids."""
+    pre, merges = spec["pre_tokenizer"] or {}, spec["model"]["merges"]
+    vocab = spec["model"]["vocab"]
+    pair = [m if isinstance(m, list) else m.split(" ") for m in merges]
+    if (spec["normalizer"] or pre.get("type") != "ByteLevel" or not pre.get("use_regex", True)
+            or pre.get("add_prefix_space") or any(vocab["".join(m)] != 256 + i for i, m in enumerate(pair))):
+        return None
+    import tiktoken
+
+    return tiktoken.Encoding(A_FILE, pat_str=WORDS, mergeable_ranks={t: i for i, t in a_bytes.items()},
+                             special_tokens={}).encode_ordinary
+
+
+def _by_library(a_path: str):
+    import tokenizers
+
+    a = tokenizers.Tokenizer.from_file(a_path)
+    a.encode_special_tokens = True
+    a.no_truncation()
+    a.no_padding()
+    return lambda text: a.encode(text, add_special_tokens=False).ids
 
 
 def _names(n: int, ends) -> list[np.ndarray]:
@@ -157,24 +160,16 @@ class Aligned(NamedTuple):
 
 
 def align_batch(tok: Tokenizers, texts: list[str]) -> Aligned:
-    cols: tuple[list[int], ...] = ([], [], [], [])
-    a_n, b_n = [], []
-    for units in tok.encode(texts):
-        before = len(cols[0]), len(cols[2])
-        if all(u is not None for u in units):
-            for u in units:
-                for col, values in zip(cols, u):
-                    col += values
-        a_n.append(len(cols[0]) - before[0])
-        b_n.append(len(cols[2]) - before[1])
-    a, a_len, b, b_len = (np.array(c, dtype=np.int64) for c in cols)
-    a_end, b_end = np.cumsum(a_len), np.cumsum(b_len)
+    coded = tok.encode(texts)
+    a, b = (np.fromiter(itertools.chain.from_iterable(c[k] for c in coded), np.int64) for k in (0, 1))
+    a_end, b_end = np.cumsum(tok.a_len[a]), np.cumsum(tok.b_len[b])
     last = terminals(a_end, b_end)
     group = np.cumsum(last[:len(a)] == np.arange(len(a))) - 1   # of a terminal: components are in order
-    ends = np.union1d(a_end, b_end)
+    ends = np.sort(np.concatenate([a_end, b_end]), kind="stable")
+    ends = ends[np.append(ends[1:] != ends[:-1], True)] if len(ends) else ends
     docs = np.arange(len(texts))
-    return Aligned(a, b, a_end, b_end, np.repeat(docs, a_n), np.repeat(docs, b_n),
-                   group[last[:len(a)]], group[last[len(a):]],
+    return Aligned(a, b, a_end, b_end, np.repeat(docs, [len(c[0]) for c in coded]),
+                   np.repeat(docs, [len(c[1]) for c in coded]), group[last[:len(a)]], group[last[len(a):]],
                    np.searchsorted(a_end, ends), np.searchsorted(b_end, ends))
 
 
@@ -262,21 +257,19 @@ def blocks(docs: DataFrame, a_path: str, b_path: str, block_docs: int = BLOCK_DO
             texts = batch.column(1).to_pylist()
             n = len(texts)
             x = align_batch(tok, texts)
-            pair = x.a[x.link_a] << ID_BITS | x.b[x.link_b]
             link_doc = x.a_doc[x.link_a]
+            # distinct pairs of each document and their numbers of links, by one sort of (document, pair)
+            key = np.sort(link_doc << 2 * ID_BITS | x.a[x.link_a] << ID_BITS | x.b[x.link_b])
+            first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.array([], int)
+            times = np.diff(np.append(first, len(key)))
+            key = key[first]
             shas = [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in group_texts(tok, x, n)]
             new_group = np.append(x.a_group[1:] != x.a_group[:-1], True) if len(x.a) else np.array([], bool)
             rows = list(zip(batch.column(0).to_pylist(), np.bincount(x.a_doc, minlength=n).tolist(),
                             np.bincount(x.b_doc, minlength=n).tolist(),
                             np.bincount(x.a_doc[new_group], minlength=n).tolist(),
                             np.bincount(link_doc, minlength=n).tolist(), shas))
-            # distinct pairs of each document and their numbers of links
-            by = np.lexsort((pair, link_doc))
-            pair, link_doc = pair[by], link_doc[by]
-            first = np.flatnonzero(np.append(True, (pair[1:] != pair[:-1]) | (link_doc[1:] != link_doc[:-1]))
-                                   ) if len(pair) else np.array([], int)
-            times = np.diff(np.append(first, len(pair)))
-            block.add(rows, np.bincount(link_doc[first], minlength=n), pair[first], times)
+            block.add(rows, np.bincount(key >> 2 * ID_BITS, minlength=n), key & PAIR, times)
             if len(block.rows) >= block_docs or block.held >= block_pairs:
                 yield block.close()
                 block = Block(uuid.uuid4().hex)
