@@ -444,7 +444,7 @@ def structural_image_lookup(spark, sf):
     runs = p.select(F.col("p_brand").alias("container"), "p_type", _prefix_by_type().alias("struct_prefix")).distinct()
     listing = p.select(F.concat_ws("/", "p_brand", F.col("p_partkey").cast("string")).alias("path"),
                        F.col("p_name").alias("name"), F.col("p_brand").alias("parent"), F.lit(False).alias("is_dir"))
-    out = files.structural_files(runs, listing, ["container", "p_type"], prefix_lengths=[3, 5])
+    out = files.structural_files(runs, listing, ["container", "p_type"], prefixes=["small", "red", "large"])
     return out.select("container", "p_type", "image_n", "image", "image_status")
 
 
