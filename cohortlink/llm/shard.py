@@ -26,6 +26,7 @@ gives no rows; columns of any name are carried without clashing.
 from __future__ import annotations
 
 import bisect
+import functools
 import itertools
 
 import numpy as np
@@ -72,12 +73,12 @@ def hilbert(cells: np.ndarray, bits: int) -> np.ndarray:
     return index
 
 
-def _rows_before(df: DataFrame, part: str, total: Column) -> DataFrame:
-    """``df`` and ``before``: the totals of all earlier partitions."""
+def _before(df: DataFrame, part: str, total: Column) -> tuple[DataFrame, int]:
+    """``df`` with ``before``, the totals of all earlier partitions, and the total of all."""
     totals = sorted(df.groupBy(F.col(part).alias("part_no")).agg(total.alias("n")).collect())   # one row a partition
-    before = itertools.accumulate((n for _, n in totals), initial=0)
+    before = list(itertools.accumulate((n for _, n in totals), initial=0))
     table = df.sparkSession.createDataFrame([(p, b) for (p, _), b in zip(totals, before)], "part_no long, before long")
-    return df.join(F.broadcast(table), F.col(part) == F.col("part_no")).drop("part_no")
+    return df.join(F.broadcast(table), F.col(part) == F.col("part_no")).drop("part_no"), before[-1]
 
 
 def _in_order(df: DataFrame, *keys: str) -> DataFrame:
@@ -85,31 +86,40 @@ def _in_order(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
 
 
-def lower_bounds(values: DataFrame, bits: int = BITS) -> list[tuple[int, object]]:
-    """(cell, smallest value) of the cells that hold rows, ascending, for a table of one column ``v``.
+def lower_bounds(rows: DataFrame, dims: list[str], bits: int = BITS) -> list[list[tuple[int, object]]]:
+    """Per column of ``dims``: (cell, smallest value) of the cells that hold rows, ascending.
 
-    A value's cell is (rows with smaller values) * 2 ** bits // rows; nulls are left out.
+    A value's cell is (rows with smaller values) * 2 ** bits // rows; nulls are
+    left out.  All columns go through one sort: their distinct values are rows
+    of one table, told apart by the grouping id.
     """
-    counts = values.where("v is not null").groupBy("v").agg(F.count("*").alias("n"))
-    kind = counts.schema["v"].dataType.simpleString()
+    gid = {d: 2 ** len(dims) - 1 - 2 ** (len(dims) - 1 - k) for k, d in enumerate(dims)}
+    own = functools.reduce(lambda a, b: a | b, [(F.col("gid") == g) & F.col(d).isNotNull() for d, g in gid.items()])
+    counts = rows.groupingSets([[F.col(d)] for d in dims], *dims).agg(
+        F.grouping_id().cast("long").alias("gid"), F.count("*").alias("n")).where(own).select("gid", "n", *dims)
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in counts.schema if f.name in gid)
 
     def running(batches):
-        """n -> rows of the partition with smaller values."""
+        """``inside``: rows of the partition before this value."""
         upto = 0
         for b in batches:
             n = b.column(1).to_numpy()
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(upto + np.cumsum(n) - n), b.column(2)], ["v", "n", "inside", "part"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(upto + np.cumsum(n) - n)], [*b.schema.names, "inside"])
             upto += int(n.sum())
-    placed = _in_order(counts, "v").withColumn("part", F.spark_partition_id().cast("long")).mapInArrow(
-        running, f"v {kind}, n long, inside long, part long")
-    placed = _rows_before(materialise(placed, "values"), "part", F.sum("n"))
-    total = placed.agg(F.sum("n")).first()[0]
-    if not total:
-        return []
-    rank = (F.col("before") + F.col("inside")).cast("decimal(38,0)") * 2 ** bits
-    return sorted(tuple(r) for r in placed.groupBy(F.floor(rank / F.lit(total)).cast("long").alias("cell"))
-                  .agg(F.min("v")).collect())   # at most 2 ** bits rows
+    values = _in_order(counts, "gid", *dims).withColumn("part", F.spark_partition_id().cast("long")).mapInArrow(
+        running, f"gid long, n long, {kinds}, part long, inside long")
+    values, _ = _before(materialise(values, "values"), "part", F.sum("n"))
+    totals = dict(values.groupBy("gid").agg(F.sum("n")).collect())   # one row a dimension
+    first = dict(zip(sorted(totals), itertools.accumulate((totals[g] for g in sorted(totals)), initial=0)))
+    out = []
+    for d, g in gid.items():
+        if g not in totals:
+            out.append([])
+            continue
+        rank = (F.col("before") + F.col("inside") - first[g]).cast("decimal(38,0)") * 2 ** bits
+        cells = values.where(F.col("gid") == g).groupBy(F.floor(rank / F.lit(totals[g])).cast("long").alias("cell"))
+        out.append(sorted(tuple(r) for r in cells.agg(F.min(d)).collect()))   # at most 2 ** bits rows
+    return out
 
 
 def _curve(bounds: list[list[tuple[int, object]]], bits: int):
@@ -151,15 +161,14 @@ def _placed(docs: DataFrame, shards: int, dimensions, bits: int, id_col: str, te
         *(_dimension(docs, name, size).alias(d) for name, d in zip(dimensions, dims)),
         *([F.struct(*docs.columns).alias("row")] if carry else []),
         F.monotonically_increasing_id().alias("no")), "shard-rows")
-    bounds = [lower_bounds(rows.select(F.col(d).alias("v")), bits) for d in dims]
+    bounds = lower_bounds(rows, dims, bits)
     rows = rows.withColumn("curve", F.arrow_udf(_curve(bounds, bits), "long")(*dims)).drop(*dims)
     groups = rows.groupBy("digest").agg(F.min("curve").alias("lowest"), F.count("*").alias("n")).where("n > 1")
     rows = rows.join(groups.select("digest", "lowest"), "digest", "left").withColumn(
         "place", F.coalesce("lowest", "curve")).drop("lowest")
     rows = materialise(_in_order(rows, "place", "digest", "id", "no").withColumn(
         "at", F.monotonically_increasing_id()), "shard-order")
-    rows = _rows_before(rows.withColumn("part", F.shiftright("at", PART_BITS)), "part", F.count("*"))
-    n = rows.count()
+    rows, n = _before(rows.withColumn("part", F.shiftright("at", PART_BITS)), "part", F.count("*"))
     rank = F.col("before") + F.col("at").bitwiseAND(2 ** PART_BITS - 1)
     rows = rows.withColumn("shard", F.expr(f"(before + (at & {2 ** PART_BITS - 1})) * {shards} div {max(n, 1)}"))
     return rows.withColumn("slot", rank - F.expr(f"(shard * {n} + {shards - 1}) div {shards}"))
