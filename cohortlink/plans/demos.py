@@ -216,8 +216,7 @@ from region, (values {", ".join("(" + _sq(s) + ")" for s in _SEGMENTS)}) t(m)
 """)
 def requests_known_modality(spark, sf):
     dim = tbl(spark, sf, "customer").select(F.col("c_mktsegment").alias("modality")).distinct()
-    req = select.make_requests(tbl(spark, sf, "region").select("r_regionkey"), _SEGMENTS, dim,
-                               dim_is_fixed=False)
+    req = select.make_requests(tbl(spark, sf, "region").select("r_regionkey"), _SEGMENTS, dim)
     return req.select("r_regionkey", "modality", "known")
 
 
