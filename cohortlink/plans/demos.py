@@ -40,6 +40,12 @@ def tbl(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def line_order():
+    """(l_shipdate, l_linenumber, l_partkey, l_suppkey) of an order's line as one long, in that order."""
+    day = F.unix_date(F.to_date("l_shipdate")).cast("long")
+    return ((day * 8 + F.col("l_linenumber")) * 2 ** 24 + F.col("l_partkey")) * 2 ** 16 + F.col("l_suppkey")
+
+
 def _sq(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
@@ -661,7 +667,7 @@ def registry_last_match(spark, sf):
     reg = tbl(spark, sf, "lineitem")
     out = link.link_registry(runs, reg, "o_orderkey", "file", ["l_partkey"], reg_subject="l_orderkey",
                              reg_file=F.col("l_returnflag"),
-                             order=F.struct("l_shipdate", "l_linenumber", "l_partkey", "l_suppkey"))
+                             order=line_order())
     return out.select("o_orderkey", F.col("rec.l_partkey").alias("pk"), F.col("link_status").alias("st"))
 
 
@@ -759,7 +765,7 @@ def source_choice(spark, sf):
                     F.date_format("l_shipdate", "M/d/yyyy").alias("interview_date"),
                     (F.col("l_linenumber") * 12).cast("string").alias("interview_age"),
                     F.col("l_partkey").cast("string").alias("image03_id"),
-                    F.struct("l_shipdate", "l_linenumber", "l_partkey", "l_suppkey", "l_tax").alias("src_order"))
+                    line_order().alias("src_order"))
     runs = tbl(spark, sf, "orders").select(
         "o_orderkey", F.col("o_orderkey").cast("string").alias("subject"), F.lit("R.tgz").alias("file"),
         F.date_format("o_orderdate", "yyyyMMdd").alias("series_date"), F.lit("1988-02-29").alias("dob"),

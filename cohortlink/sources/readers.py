@@ -6,11 +6,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import dims, schemas
+from ..session import cut_lineage
 
 
 def _read(spark: SparkSession, path, fmt: str, schema: T.StructType | None = None, **opts) -> DataFrame:
@@ -60,31 +61,46 @@ def read_registry(spark: SparkSession, path, columns: Sequence[str] = tuple(sche
     """Registry of earlier uploads: TSV with a header and a description line.
 
     All columns are text; quoting as pandas reads it (a quote inside a
-    quoted field is doubled).  Exactly the description line is dropped: the
-    first row after the header of each file (and a word-for-word repeat of
-    it); a data row with an empty or odd id stays.  One short read per file
-    fetches those lines, the data are scanned once.  ``src_order`` keeps the
-    file order, needed for "the last match wins": (file path, block start,
-    row id within the task) orders rows as they stand in the files, whatever
-    the split sizes.
+    quoted field is doubled).  The description line, the first row after the
+    header of each file, is dropped by its place; a data row with an empty or
+    odd id stays.  ``src_order`` numbers the rows 0, 1, ... as they stand in the
+    files (by file path), whatever the split sizes: one long, needed for "the
+    last match wins".
+
+    The text is scanned once, into a stage table below the checkpoint folder
+    with each row's split and its number in the task; the number of rows per
+    split is a small aggregate of that table (``number_rows``).
     """
     df = _read(spark, path, "csv", header="true", sep=sep, inferSchema="false",
                quote='"', escape='"', multiLine="false")
-    order = F.struct(F.col("_metadata.file_path").alias("file"),
-                     F.col("_metadata.file_block_start").alias("block"),
-                     F.monotonically_increasing_id().alias("row"))
-    rows = df.select(*[F.col(c) for c in columns], order.alias("src_order"))
-    for name in df.inputFiles():
-        one = _read(spark, name, "csv", header="true", sep=sep, inferSchema="false", quote='"', escape='"')
-        first = one.where(F.col("_metadata.file_block_start") == 0).select(
-            *columns, F.col("_metadata.file_path").alias("__file")).head()
-        if first is not None:
-            at = F.col("src_order")
-            same = (at["file"] == first["__file"]) & (at["block"] == 0)
-            for c in columns:
-                same = same & F.col(c).eqNullSafe(F.lit(first[c]))
-            rows = rows.where(~same)
-    return rows
+    rows = cut_lineage(df.select(*columns, F.col("_metadata.file_path").alias("__file"),
+                                 F.col("_metadata.file_block_start").alias("__block"),
+                                 F.monotonically_increasing_id().alias("__row")), "registry")
+    numbered = number_rows(rows, ["__file", "__block"], "__row", "src_order", first_of="__file")
+    return numbered.where(F.col("src_order") > F.col("__first")).select(*columns, "src_order")
+
+
+def number_rows(rows: DataFrame, split: Sequence[str], row: str, out: str, first_of: str) -> DataFrame:
+    """Dense number of every row in the order of its split, without a sort.
+
+    ``split`` are the columns that name a split, in the order splits follow
+    each other; the values of ``row`` rise by one from row to row within a
+    split (``monotonically_increasing_id`` over a file scan).  Rows per split
+    and their lowest value are one partial aggregate; the prefix sums over
+    splits are the offsets.  The offsets are one row per split, as many as the
+    scan had tasks at most, so they go into one window and are broadcast.
+    Adds ``out`` (long) and ``__first``, the number of the first row of the
+    row's ``first_of`` group of splits (the file).
+    """
+    s = rows.groupBy(*split).agg(F.count(F.lit(1)).alias("__n"), F.min(row).alias("__low"))
+    before = Window.orderBy(*split).rowsBetween(Window.unboundedPreceding, -1)
+    s = s.select(*[F.col(c).alias(f"__s_{c}") for c in split], "__low",
+                 F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    s = s.withColumn("__first", F.min("__before").over(Window.partitionBy(f"__s_{first_of}")))
+    same = [F.col(c).eqNullSafe(F.col(f"__s_{c}")) for c in split]
+    return (rows.join(F.broadcast(s), same)
+                .withColumn(out, F.col("__before") + F.col(row) - F.col("__low"))
+                .drop("__low", "__before", *[f"__s_{c}" for c in split]))
 
 
 # ------------------------------------------------------------------ O04
