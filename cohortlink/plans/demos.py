@@ -957,6 +957,53 @@ def payload_document(spark, sf):
     return submit.payload(tbl(spark, sf, "nation"), ["n_nationkey"], columns=["n_name", "n_regionkey"])
 
 
+_TYPED_SQL = """
+with v as (select s_suppkey,
+    cast(s_suppkey as varchar) as w,
+    case when s_suppkey % 10 = 3 then null else cast(s_nationkey as varchar) end as g,
+    case when s_nationkey % 2 = 0 then 'True' else 'false' end as b,
+    case when s_suppkey % 7 = 0 then 'n' || s_nationkey else cast(s_nationkey as varchar) end as t from supplier),
+k as (select
+    case when bool_and(coalesce(regexp_full_match(w, '[+-]?[0-9]+'), false)) then 'whole' else 'other' end as wk,
+    case when bool_and(g is null or regexp_full_match(g, '[+-]?[0-9]+')) and bool_or(g is null) then 'float'
+         when bool_and(g is not null and regexp_full_match(g, '[+-]?[0-9]+')) then 'whole' else 'other' end as gk,
+    case when bool_and(b in ('True', 'TRUE', 'true', 'False', 'FALSE', 'false')) then 'boolean' else 'other' end as bk,
+    case when bool_or(not regexp_full_match(t, '[+-]?[0-9]+')) then 'text' else 'whole' end as tk from v)
+"""
+
+
+@query("O45b", _TYPED_SQL + """
+select wk as w, gk as g, bk as b, tk as t from k
+""")
+def registry_column_types(spark, sf):
+    return submit.column_types(_typed_texts(spark, sf), ["w", "g", "b", "t"])
+
+
+@query("O45b", _TYPED_SQL + f"""
+select s_suppkey, '{{"schemaName": "{dims.SCHEMA_NAME}", "dataStructureRows": [{{"shortName": "{dims.SHORT_NAME}", '
+  || '"dataElement": [{{"name": "w", "value": ' || case when wk = 'whole' then w else '"' || w || '"' end
+  || '}}, {{"name": "g", "value": ' || case when g is null then 'NaN' when gk = 'float' then g || '.0' else g end
+  || '}}, {{"name": "b", "value": ' || case when bk = 'boolean' then lower(b) else '"' || b || '"' end
+  || '}}, {{"name": "t", "value": ' || case when tk = 'text' then '"' || t || '"' else t end || '}}]}}]}}' as payload
+from v, k
+""")
+def payload_typed_document(spark, sf):
+    rows, cols = _typed_texts(spark, sf), ["w", "g", "b", "t"]
+    typed = rows.withColumn("kinds", submit.column_types(rows, cols).select(F.struct("*")).scalar())
+    return submit.payload(typed, ["s_suppkey"], columns=cols,
+                          values={c: submit.json_value(F.col(c), F.col("kinds")[c]) for c in cols})
+
+
+def _typed_texts(spark, sf):
+    """Text columns of suppliers: whole numbers, whole numbers with gaps, truth values, a mixture."""
+    nation = F.col("s_nationkey").cast("string")
+    return tbl(spark, sf, "supplier").select(
+        "s_suppkey", F.col("s_suppkey").cast("string").alias("w"),
+        F.when(F.col("s_suppkey") % 10 != 3, nation).alias("g"),
+        F.when(F.col("s_nationkey") % 2 == 0, "True").otherwise("false").alias("b"),
+        F.when(F.col("s_suppkey") % 7 == 0, F.concat(F.lit("n"), nation)).otherwise(nation).alias("t"))
+
+
 @query("O46a", f"""
 with s as (select user_id, arg_max(value > 20, ts) as ok, arg_max(props, ts) as msg from events
            where event_type = 'view' group by 1),
