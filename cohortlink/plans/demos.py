@@ -1062,9 +1062,12 @@ select event_id, max((event_type = 'error')::int) over (partition by user_id ord
   rows between unbounded preceding and current row) = 1 as failed from events
 """)
 def fail_fast_running(spark, sf):
-    ev = tbl(spark, sf, "events")
-    out = outcome.fail_fast_flag(ev, ["user_id"], F.struct("ts", "event_id"), F.col("event_type") == "error")
-    return out.select("event_id", "failed")
+    runs = tbl(spark, sf, "events").withColumn("at", F.struct("ts", "event_id"))
+    issues = common.tag_issues(runs, ["user_id", "event_id"],
+                               [("E", "error", "run", F.col("event_type") == "error"),
+                                ("W", "warning", "run", F.col("event_type") == "view")])
+    return outcome.fail_fast(runs, issues, ["user_id"], ["user_id", "event_id"], "at").select(
+        "event_id", F.col("blocked").alias("failed"))
 
 
 @query("O46e", """

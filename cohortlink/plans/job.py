@@ -18,7 +18,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
-from cohortlink.operators import outcome  # noqa: E402
+from cohortlink.operators import commit, outcome  # noqa: E402
 from cohortlink.plans.pipeline import ReleaseInputs, ReleaseParams, build_release  # noqa: E402
 from cohortlink.session import drop_scratch, get_spark  # noqa: E402
 from cohortlink.sources import readers  # noqa: E402
@@ -38,13 +38,24 @@ def parse(argv=None):
     p.add_argument("--registration")
     p.add_argument("--texts", action="append", default=[], help="glob of motion/bvals/bvecs files")
     p.add_argument("--replies", help="parquet table of delivery replies")
-    p.add_argument("--existing", help="outcomes of earlier runs (parquet: package, withdrawn) or any table of "
-                                      "delivered packages; a withdrawn package is made again")
+    p.add_argument("--existing", help="the --out folder of earlier runs (committed attempts count), or a parquet table "
+                                      "of delivered packages (package, withdrawn); a withdrawn package is made again")
     p.add_argument("--out", required=True)
+    p.add_argument("--attempt", help="name of the attempt (default: the time); a repeated one replaces its rows")
     p.add_argument("--nowrite", action="store_true")
     return p.parse_args(argv)
 
 
+def existing_packages(spark, path: str, attempt: str | None):
+    """Delivered packages of a run folder (committed attempts but ``attempt`` itself) or of a table."""
+    outcomes = commit.committed(spark, path, "outcomes", "attempt")
+    if outcomes is not None and attempt:
+        outcomes = outcomes.where(outcome.F.col("attempt").cast("string") != attempt)
+    if outcomes is None:
+        outcomes = spark.read.parquet(path)
+    return outcome.delivered(outcomes)
+
+
 def main(argv=None, spark=None) -> None:
     a = parse(argv)
     own = spark is None
@@ -59,17 +70,18 @@ def main(argv=None, spark=None) -> None:
         registration=spark.read.parquet(a.registration) if a.registration else None,
         texts=readers.read_side_text(spark, a.texts) if a.texts else None,
         replies=spark.read.parquet(a.replies) if a.replies else None,
-        existing=outcome.delivered(spark.read.parquet(a.existing)) if a.existing else None)
+        existing=existing_packages(spark, a.existing, a.attempt) if a.existing else None)
     now = datetime.datetime.now(datetime.timezone.utc)
-    attempt = now.strftime("%Y%m%dT%H%M%S")
+    attempt = a.attempt or now.strftime("%Y%m%dT%H%M%S")
     prm = ReleaseParams(modalities=a.modality, site=a.site, site_mode=a.site_mode, dry_run=a.nowrite,
                         attempt=attempt, run_date=now.strftime("%Y-%m-%d"))
     out = build_release(spark, inp, prm)
     try:
-        for name in ("runs", "manifest", "submission", "payload", "outcomes", "issues", "summary"):
-            outcome.write_partitions(getattr(out, name).withColumn("attempt", outcome.F.lit(attempt)),
-                                     os.path.join(a.out, name), ["attempt"])
-        outcome.append_ledger(out.ledger, os.path.join(a.out, "ledger"), dry_run=a.nowrite, attempt=attempt)
+        outputs = {name: getattr(out, name) for name in ("runs", "runs_json", "manifest", "submission", "payload",
+                                                         "outcomes", "issues", "summary")}
+        if not a.nowrite:
+            outputs["ledger"] = out.ledger
+        commit.write_attempt(spark, a.out, "attempt", attempt, outputs, {"ledger": ("run_date", "modality")})
     finally:
         drop_scratch(spark, out.extra["scratch"])   # stage tables are of no use after the writes
     if own:
