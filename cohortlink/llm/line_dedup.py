@@ -18,9 +18,11 @@ a length that differs by at most one is left out (exact, not a heuristic).
 DataFrame and SQL functions only.
 
 Defined cases: a null text has no lines; blank lines always stay; lines
-shorter than ``LEAST`` characters are compared for equality only; lines of
-rows that share an id are in line order, rows with a null id keep their lines
-and are no earlier occurrence for others.
+shorter than ``LEAST`` characters are compared for equality only; rows that
+share an id but not the text are documents of their own, ordered by a hash of
+the text; rows equal in both count as one document and get the same result;
+rows with a null id keep their lines and are no earlier occurrence for others;
+columns of any name are carried without clashing.
 """
 
 from __future__ import annotations
@@ -36,7 +38,7 @@ BLANKS = " \t\x0b\f\r"
 
 
 def place() -> Column:
-    return F.struct("doc_id", "at")
+    return F.struct("doc_id", "row", "at")
 
 
 def digest(text: Column) -> Column:
@@ -51,9 +53,10 @@ def trimmed(line: Column) -> Column:
 
 
 def lines(docs: DataFrame) -> DataFrame:
-    """doc_id, at, line: every line with a character that is not blank, trimmed."""
-    return docs.where("doc_id is not null").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("at", "line")).select(
-        "doc_id", "at", trimmed(F.col("line")).alias("line")).where("line <> ''")
+    """doc_id, row (hash of the text), at, line: every line with a character that is not blank, trimmed."""
+    return docs.where("doc_id is not null").select(
+        "doc_id", F.xxhash64("text").alias("row"), F.posexplode(F.split("text", "\n", -1)).alias("at", "line")).select(
+        "doc_id", "row", "at", trimmed(F.col("line")).alias("line")).where("line <> ''")
 
 
 def half_keys(line: str) -> Column:
@@ -66,8 +69,8 @@ def half_keys(line: str) -> Column:
 
 
 def variants(few: DataFrame) -> DataFrame:
-    """doc_id, at, variant, gone: the line itself (gone 0) and each deletion of one character (its place)."""
-    return few.select("doc_id", "at", F.posexplode(F.expr(
+    """doc_id, row, at, variant, gone: the line itself (gone 0) and each deletion of one character (its place)."""
+    return few.select("doc_id", "row", "at", F.posexplode(F.expr(
         "transform(sequence(0, n), i -> xxhash64(if(i = 0, line, concat(left(line, i - 1), substr(line, i + 1))), n - int(i > 0)))"
     )).alias("gone", "variant"))
 
@@ -97,54 +100,55 @@ def near_lines(every: DataFrame, distinct: DataFrame) -> DataFrame:
     shared = h.groupBy("half").agg(F.count("*").alias("c")).where("c > 1").select("half")
     few = materialise(h.join(shared, "half", "left_semi").select("key", "first").distinct(), "keys_with_neighbours")
     few = materialise(every.join(few, "key").where(place() == F.col("first")).select(
-        "key", "first", "doc_id", "at", "line", F.length("line").alias("n")).dropDuplicates(["key"]), "lines_with_neighbours")
+        "key", "first", "doc_id", "row", "at", "line", F.length("line").alias("n")).dropDuplicates(["key"]), "lines_with_neighbours")
     found = earliest_neighbours(spread(few)).join(few, "first").where(F.col("other") < F.col("first"))
     text = few.select(F.col("first").alias("other"), F.col("line").alias("other_line"))
     return found.join(text, "other").where(F.levenshtein("line", "other_line") <= 1).select("key").distinct()
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, at, near: the lines that go (near: no equal line occurs earlier)."""
+    """doc_id, row, at, near: the lines that go (near: no equal line occurs earlier)."""
     every = lines(docs).withColumn("key", digest(F.col("line")))
     distinct = materialise(
-        every.select("key", "doc_id", "at", F.when(F.length("line") >= LEAST, half_keys("line")).alias("halves")).groupBy(
+        every.select("key", "doc_id", "row", "at", F.when(F.length("line") >= LEAST, half_keys("line")).alias("halves")).groupBy(
             "key").agg(F.min(place()).alias("first"), F.first("halves").alias("halves"), F.count("*").alias("c")),
         "distinct_lines")
     near = materialise(near_lines(every, distinct), "near_lines")
     known = distinct.where("c > 1").select("key", "first").join(near.withColumn("near", F.lit(True)), "key", "full").select(
         "key", "first", "near")
     return every.drop("line").join(known, "key").where((place() > F.col("first")) | F.col("near")).select(
-        "doc_id", "at", (~F.coalesce(place() > F.col("first"), F.lit(False))).alias("near"))
+        "doc_id", "row", "at", (~F.coalesce(place() > F.col("first"), F.lit(False))).alias("near"))
 
 
-def without_repeats(docs: DataFrame) -> DataFrame:
-    """``docs`` (doc_id, text and any other columns) with the kept lines only, plus line counts
-    n_lines, n_equal, n_near (lines that are not blank, removed as equal, removed as near)."""
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of ``docs``: doc (a struct of its columns), text (its kept lines; the column
+    itself where no line goes), n_lines, n_equal, n_near (lines that are not blank, removed as equal,
+    removed as near)."""
     prepare(docs.sparkSession)
-    own = removed_lines(narrow(docs)).groupBy("doc_id").agg(
+    own = removed_lines(narrow(docs, id_col, text_col)).groupBy("doc_id", "row").agg(
         F.collect_set("at").alias("gone"), F.countDistinct(F.when(~F.col("near"), F.col("at"))).alias("equal"),
-        F.countDistinct(F.when(F.col("near"), F.col("at"))).alias("near")).withColumnRenamed("doc_id", "line_doc")
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    out = docs.join(own, F.col("doc_id").cast("long") == F.col("line_doc"), "left").withColumn(
-        "line_split", F.split(text, "\n", -1))
-    kept = F.expr("array_join(transform(array_except(sequence(0, size(line_split) - 1), gone), i -> line_split[i]), '\\n')")
-    return out.select(*(F.when(F.col("gone").isNotNull(), kept).otherwise(F.col(c)).alias(c) if c == "text" else F.col(c)
-                        for c in docs.columns),
-                      F.size(F.filter("line_split", lambda x: trimmed(x) != "")).cast("long").alias("line_n"),
-                      F.coalesce("equal", F.lit(0)).alias("line_equal"), F.coalesce("near", F.lit(0)).alias("line_near"))
+        F.countDistinct(F.when(F.col("near"), F.col("at"))).alias("near"))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    # the document's own columns stay inside a struct, so none can clash with a work column
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
+                        F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("row"), text.alias("whole"))
+    out = whole.join(own, ["doc_id", "row"], "left").withColumn("parts", F.split("whole", "\n", -1))
+    kept = F.expr("array_join(transform(array_except(sequence(0, size(parts) - 1), gone), i -> parts[i]), '\\n')")
+    return out.select("doc", F.when(F.col("gone").isNotNull(), kept).otherwise(F.col("doc")[text_col]).alias("text"),
+                      F.size(F.filter("parts", lambda x: trimmed(x) != "")).cast("long").alias("n_lines"),
+                      F.coalesce("equal", F.lit(0)).alias("n_equal"), F.coalesce("near", F.lit(0)).alias("n_near"))
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_lines, n_equal, n_near, text: one row per document."""
-    out = without_repeats(narrow(docs, id_col, text_col))
-    return out.select("doc_id", F.col("line_n").alias("n_lines"), F.col("line_equal").alias("n_equal"),
-                      F.col("line_near").alias("n_near"), "text")
+    return without_repeats(narrow(docs, id_col, text_col)).select(
+        F.col("doc.doc_id").alias("doc_id"), "n_lines", "n_equal", "n_near", "text")
 
 
-def drop_repeats(docs: DataFrame) -> DataFrame:
+def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with their kept lines; a document none of whose lines is left goes, unless it had none."""
-    out = without_repeats(docs)
-    return out.where("line_n = 0 or line_n > line_equal + line_near").select(*docs.columns)
+    out = without_repeats(docs, id_col, text_col).where("n_lines = 0 or n_lines > n_equal + n_near")
+    return out.select(*[F.col("text").alias(c) if c == text_col else F.col("doc").getField(c).alias(c) for c in docs.columns])
 
 
 #: the same rows in DuckDB: neighbours by plain pieces of the lines, without variants

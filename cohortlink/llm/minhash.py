@@ -27,7 +27,8 @@ and counted.  The bound is exact for every
 
 Defined cases: null or empty text has an empty set and links with nothing;
 one word is one shingle; equal texts share a class; rows with a null id keep
-their row, link with nothing and are kept.
+their row, link with nothing and are kept; rows that share an id but not the
+text belong to classes of their own (``text_hash`` tells them apart).
 """
 
 from __future__ import annotations
@@ -90,22 +91,23 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int = SIMILARITY) -> bool:
 
 
 def signatures(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
-    """doc_id, n_shingles, d1, d2 (digest of the set), sig (COORDS ints)."""
+    """doc_id, text_hash, n_shingles, d1, d2 (digest of the set), sig (COORDS ints)."""
     prepare(docs.sparkSession)
-    names = ["doc_id", "n_shingles", "d1", "d2", "sig"]
+    names = ["doc_id", "text_hash", "n_shingles", "d1", "d2", "sig"]
 
     def run(batches):
         for b in batches:
             rows = []
-            for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for i, t, h in zip(*(b.column(k).to_pylist() for k in range(3))):
                 s = shingle_set(t.encode(), words)
                 d = np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64)
-                rows.append((i, len(s), int(d[0]), int(d[1]), signature(s)))
-            cols = list(zip(*rows)) if rows else [()] * 5
-            flat = np.concatenate(cols[4]) if rows else np.zeros(0, np.int32)
+                rows.append((i, h, len(s), int(d[0]), int(d[1]), signature(s)))
+            cols = list(zip(*rows)) if rows else [()] * 6
+            flat = np.concatenate(cols[5]) if rows else np.zeros(0, np.int32)
             sig = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * COORDS), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:4]), sig], names)
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, d1 long, d2 long, sig array<int>")
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:5]), sig], names)
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(
+        run, "doc_id long, text_hash long, n_shingles long, d1 long, d2 long, sig array<int>")
 
 
 def postings(classes: DataFrame, matches: int = MATCHES) -> DataFrame:
@@ -126,15 +128,16 @@ def postings(classes: DataFrame, matches: int = MATCHES) -> DataFrame:
 
 
 def blobs(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """rep, blob: the compressed text of the wanted documents."""
+    """rep, blob: the compressed text of the wanted classes (rep, doc, text_hash)."""
     def run(batches):
         z = zstandard.ZstdCompressor(level=3)
         for b in batches:
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([z.compress(t.encode()) for t in b.column(1).to_pylist()], pa.binary())],
-                ["rep", "blob"])
-    packed = docs.where("doc_id is not null").mapInArrow(run, "rep long, blob binary")
-    return packed.join(wanted, "rep", "left_semi").dropDuplicates(["rep"])
+                [b.column(0), b.column(2), pa.array([z.compress(t.encode()) for t in b.column(1).to_pylist()], pa.binary())],
+                ["doc", "text_hash", "blob"])
+    packed = docs.where("doc_id is not null").select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(
+        run, "doc long, text_hash long, blob binary")
+    return packed.join(wanted, ["doc", "text_hash"]).select("rep", "blob").dropDuplicates(["rep"])
 
 
 def low_bytes(sig: str):
@@ -166,20 +169,32 @@ def confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int, matche
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE,
                     percent: int = SIMILARITY, matches: int = MATCHES) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: one row per document."""
+    """doc_id, n_shingles, component_id, kept, text_hash: one row per document."""
     prepare(docs.sparkSession)
     docs = narrow(docs, id_col, text_col)
     sigs = materialise(signatures(docs, words), "signatures")
-    classes = materialise(
-        sigs.where("n_shingles > 0 and doc_id is not null").groupBy("d1", "d2", "n_shingles").agg(
-            F.min("doc_id").alias("rep"), F.first("sig").alias("sig")).withColumnRenamed("n_shingles", "n"), "classes")
+    classes = materialise(_classes(sigs.where("n_shingles > 0 and doc_id is not null")), "classes")
     posts = materialise(postings(classes, matches), "postings")
     links = link_classes(posts, classes, docs, words, percent, matches)
-    label = components(links).select(F.col("node").alias("rep"), "component")
+    label = components(links).select(F.col("node").alias("rep"), "component").join(classes.select("rep", "doc"), "rep")
+    least = label.groupBy("component").agg(F.min("doc").alias("least"))
+    label = label.join(least, "component").select("rep", F.col("least").alias("component"))
     known = classes.join(label, "rep", "left").select(
-        "d1", "d2", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component"))
-    return sigs.select("doc_id", "n_shingles", "d1", "d2").join(known, ["d1", "d2", "n_shingles"], "left").select(
-        "doc_id", "n_shingles", *_verdict())
+        "d1", "d2", F.col("n").alias("n_shingles"), F.coalesce("component", "doc").alias("component"))
+    return sigs.select("doc_id", "text_hash", "n_shingles", "d1", "d2").join(known, ["d1", "d2", "n_shingles"], "left").select(
+        "doc_id", "n_shingles", *_verdict(), "text_hash")
+
+
+def _classes(sigs: DataFrame) -> DataFrame:
+    """d1, d2, n, sig, doc and text_hash (of the first row), rep: a number of the class's own, its first
+    id unless another class has the same one."""
+    c = sigs.groupBy("d1", "d2", "n_shingles").agg(
+        F.min(F.struct("doc_id", "text_hash")).alias("f"), F.first("sig").alias("sig")).select(
+        "d1", "d2", F.col("n_shingles").alias("n"), "sig", F.col("f.doc_id").alias("doc"), F.col("f.text_hash").alias("text_hash"))
+    shared = c.groupBy("doc").agg(F.count("*").alias("c")).where("c > 1").select("doc", F.lit(True).alias("shared"))
+    own = -F.xxhash64("doc", "d1", "d2").bitwiseAND((1 << 63) - 1) - 1
+    return materialise(c, "classes").join(shared, "doc", "left").select(
+        "d1", "d2", "n", "sig", "doc", "text_hash", F.when(F.col("shared"), own).otherwise(F.col("doc")).alias("rep"))
 
 
 def _verdict():
@@ -191,7 +206,7 @@ def link_classes(posts: DataFrame, classes: DataFrame, docs: DataFrame, words: i
                  matches: int) -> DataFrame:
     """(a, b): confirmed links that connect every component of similar classes."""
     spark = posts.sparkSession
-    wanted = posts.select("rep").distinct()
+    wanted = classes.select("rep", "doc", "text_hash").join(posts.select("rep").distinct(), "rep")
     texts = materialise(blobs(docs, wanted).join(classes.select("rep", low_bytes("sig").alias("low")), "rep"), "texts")
     empty = spark.createDataFrame([], "a long, b long, linked boolean")
     tested, label, active = empty, None, posts.withColumn("component", F.col("rep"))

@@ -188,14 +188,18 @@ def mask(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     """``docs`` with every span of its text replaced by [KIND]; overlapping spans become the first one's kind."""
     prepare(docs.sparkSession)
     d = spans(narrow(docs, id_col, text_col)).where(" or ".join(f"size({k}) > 0" for k in KINDS))
-    hits = d.select(F.col("doc_id").alias("pii_id"), F.col("key").alias("pii_key"), _ordered(KINDS).alias("pii_spans")).distinct()
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    out = docs.join(hits, F.col(id_col).cast("long").eqNullSafe(F.col("pii_id")) & (F.xxhash64(text) == F.col("pii_key")), "left")
-    done = F.aggregate("pii_spans", F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts")),
+    hits = d.select("doc_id", "key", _ordered(KINDS).alias("spans")).distinct()
+    # the document's own columns stay inside a struct, so none can clash with a work column
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
+                       F.col(id_col).cast("long").alias("own_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    out = rows.join(hits, F.col("own_id").eqNullSafe(F.col("doc_id")) & (F.xxhash64("text") == F.col("key")), "left")
+    text = F.col("text")
+    done = F.aggregate("spans", F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts")),
                        lambda a, s: F.when(s.end <= a.at, a).otherwise(F.struct(
                            s.end.alias("at"), F.when(s.start < a.at, a.parts).otherwise(F.concat(a.parts, F.array(
                                F.substr(text, a.at + 1, s.start - a.at), F.concat(F.lit("["), F.upper(s.kind), F.lit("]"))))
                            ).alias("parts"))),
                        lambda a: F.concat(F.array_join(a.parts, ""), F.substr(text, a.at + 1, F.length(text))))
-    return out.select(*(F.when(F.col("pii_spans").isNotNull(), done).otherwise(F.col(c)).alias(c) if c == text_col
-                        else F.col(c) for c in docs.columns))
+    own = F.col("doc").getField
+    return out.select(*[F.when(F.col("spans").isNotNull(), done).otherwise(own(c)).alias(c) if c == text_col
+                        else own(c).alias(c) for c in docs.columns])

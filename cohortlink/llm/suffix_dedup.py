@@ -22,8 +22,9 @@ Every byte covered by a ``LENGTH``-byte string that also starts earlier
 Only anchors' hashes and positions are shuffled for the whole corpus.
 
 Defined cases: a null text is empty; texts shorter than LENGTH are unchanged;
-rows with a null id stay unchanged and repeat nothing; rows that share an id
-count as one document (spans found at a position apply to each of them).
+rows with a null id stay unchanged and repeat nothing; rows that share an id but
+not the text are documents of their own, ordered by a hash of the text (``row``);
+rows equal in both count as one document and get the same result.
 """
 
 from __future__ import annotations
@@ -110,25 +111,26 @@ def cells(data: np.ndarray, length: int = LENGTH, gram: int = GRAM):
 
 
 def cell_table(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """anchor, cell, doc_id, start, size: one row per cell."""
-    names = ["anchor", "cell", "doc_id", "start", "size"]
+    """anchor, cell, doc_id, row, start, size: one row per cell."""
+    names = ["anchor", "cell", "doc_id", "row", "start", "size"]
 
     def run(batches):
         for b in batches:
             for k in range(0, b.num_rows, 64):
                 part, rows = b.slice(k, 64), []
-                for i, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                for i, t, r in zip(*(part.column(k).to_pylist() for k in range(3))):
                     a, c, s, n = cells(np.frombuffer(t.encode(), np.uint8), length, gram)
-                    rows.append((a.view(np.int64), c.view(np.int64), np.full(len(s), i, np.int64), s, n))
+                    rows.append((a.view(np.int64), c.view(np.int64), np.full(len(s), i, np.int64),
+                                 np.full(len(s), r, np.int64), s, n))
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*rows)], names)
-    return docs.where("doc_id is not null").mapInArrow(
-        run, "anchor long, cell long, doc_id long, start long, size long")
+    return docs.where("doc_id is not null").select("doc_id", "text", "row").mapInArrow(
+        run, "anchor long, cell long, doc_id long, row long, start long, size long")
 
 
 def block_spans(pdf: pd.DataFrame, length: int = LENGTH, gram: int = GRAM) -> pd.DataFrame:
-    """Distinct cells of a block of anchors (anchor, doc_id, start, bytes) -> repeated spans doc_id, start, size."""
+    """Distinct cells of a block of anchors (anchor, doc_id, row, start, bytes) -> repeated spans doc_id, row, start, size."""
     pdf = _shared_parts(pdf.reset_index(drop=True), length, gram)
-    empty = pd.DataFrame({c: pd.Series(dtype="int64") for c in ("doc_id", "start", "size")})
+    empty = pd.DataFrame({c: pd.Series(dtype="int64") for c in ("doc_id", "row", "start", "size")})
     if len(pdf) < 2:
         return empty
     size = pdf["bytes"].map(len).to_numpy()
@@ -144,7 +146,9 @@ def block_spans(pdf: pd.DataFrame, length: int = LENGTH, gram: int = GRAM) -> pd
     for at in [*range(0, length - 8, 8), length - 8]:
         w = np.ascontiguousarray(wide[order + at]).view(np.uint64).reshape(-1)
         same &= w[1:] == w[:-1]
-    doc = pdf["doc_id"].to_numpy()[owner[order]]
+    # documents of the block by (id, row), numbered in order
+    doc_of, ids = _numbered(pdf["doc_id"].to_numpy(), pdf["row"].to_numpy())
+    doc = doc_of[owner[order]]
     start = pdf["start"].to_numpy()[owner[order]] + offset[order]
     rank = np.empty(len(order), np.int64)
     rank[np.lexsort((start, doc))] = np.arange(len(order))
@@ -157,7 +161,18 @@ def block_spans(pdf: pd.DataFrame, length: int = LENGTH, gram: int = GRAM) -> pd
     canon[again] = 0
     canon = np.maximum.accumulate(canon)
     rep = canon[rank] > canon[least]
-    return _merged(doc[rep], start[rep], length)
+    spans = _merged(doc[rep], start[rep], length)
+    number = spans.pop("doc").to_numpy()
+    return spans.assign(doc_id=ids[0][number], row=ids[1][number])[["doc_id", "row", "start", "size"]]
+
+
+def _numbered(doc_id: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray]]:
+    """Number of each (id, row) in their order, and ids and rows by number."""
+    by = np.lexsort((row, doc_id))
+    new = np.concatenate([[True], (doc_id[by][1:] != doc_id[by][:-1]) | (row[by][1:] != row[by][:-1])])
+    number = np.empty(len(by), np.int64)
+    number[by] = np.cumsum(new) - 1
+    return number, (doc_id[by][new], row[by][new])
 
 
 def _shared_parts(pdf: pd.DataFrame, length: int, gram: int) -> pd.DataFrame:
@@ -196,28 +211,28 @@ def _merged(doc: np.ndarray, start: np.ndarray, length: int) -> pd.DataFrame:
     new = np.concatenate([[True], (doc[1:] != doc[:-1]) | (start[1:] > start[:-1] + length)])[:len(doc)]
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(doc))[:len(first)] - 1
-    return pd.DataFrame({"doc_id": doc[first], "start": start[first], "size": start[last] + length - start[first]})
+    return pd.DataFrame({"doc": doc[first], "start": start[first], "size": start[last] + length - start[first]})
 
 
 def cell_bytes(docs: DataFrame, wanted: DataFrame, length: int, gram: int) -> DataFrame:
-    """Adds the bytes of the wanted cells (anchor, doc_id, start, size) and the place of their anchor."""
-    asked = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "start", "size")).alias("asked"))
-    texts = docs.dropDuplicates(["doc_id"]).join(asked, "doc_id")
+    """Adds the bytes of the wanted cells (anchor, doc_id, row, start, size) and the place of their anchor."""
+    asked = wanted.groupBy("doc_id", "row").agg(F.collect_list(F.struct("anchor", "start", "size")).alias("asked"))
+    texts = docs.dropDuplicates(["doc_id", "row"]).join(asked, ["doc_id", "row"])
 
     def run(batches):
         for b in batches:
             for k in range(0, b.num_rows, 64):
                 part, rows = b.slice(k, 64), []
-                for i, t, asked in zip(*(part.column(c).to_pylist() for c in range(3))):
+                for i, r, t, asked in zip(*(part.column(c).to_pylist() for c in range(4))):
                     data = t.encode()
-                    rows += [(x["anchor"], i, x["start"], data[x["start"]:x["start"] + x["size"]]) for x in asked]
-                cols = list(zip(*rows)) or [()] * 4
-                inner = [_anchor_place(x, length, gram) for x in cols[3]]
+                    rows += [(x["anchor"], i, r, x["start"], data[x["start"]:x["start"] + x["size"]]) for x in asked]
+                cols = list(zip(*rows)) or [()] * 5
+                inner = [_anchor_place(x, length, gram) for x in cols[4]]
                 yield pa.RecordBatch.from_arrays(
-                    [*(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(inner, pa.int64()),
-                     pa.array(cols[3], pa.binary())], ["anchor", "doc_id", "start", "inner", "bytes"])
-    return texts.select("doc_id", "text", "asked").mapInArrow(
-        run, "anchor long, doc_id long, start long, inner long, bytes binary")
+                    [*(pa.array(c, pa.int64()) for c in cols[:4]), pa.array(inner, pa.int64()),
+                     pa.array(cols[4], pa.binary())], ["anchor", "doc_id", "row", "start", "inner", "bytes"])
+    return texts.select("doc_id", "row", "text", "asked").mapInArrow(
+        run, "anchor long, doc_id long, row long, start long, inner long, bytes binary")
 
 
 def _anchor_place(cell: bytes, length: int, gram: int) -> int:
@@ -229,42 +244,43 @@ def _anchor_place(cell: bytes, length: int, gram: int) -> int:
 
 def hot_spans(cells_: DataFrame, length: int) -> DataFrame:
     """The same spans for anchors with very many cells, by grouping digests of their windows."""
-    w = cells_.select("doc_id", F.col("start").alias("base"), "bytes",
+    w = cells_.select("doc_id", "row", F.col("start").alias("base"), "bytes",
                       F.explode(F.expr(f"sequence(0, length(bytes) - {length})")).alias("o")).select(
-        "doc_id", (F.col("base") + F.col("o")).alias("start"),
+        "doc_id", "row", (F.col("base") + F.col("o")).alias("start"),
         F.md5(F.expr(f"substring(bytes, o + 1, {length})")).alias("digest"))
-    first = w.groupBy("digest").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.count("*").alias("c"))
-    return w.join(first.where("c > 1"), "digest").where(F.struct("doc_id", "start") > F.col("first")).select(
-        "doc_id", "start", F.lit(length).cast("long").alias("size"))
+    place = F.struct("doc_id", "row", "start")
+    first = w.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("c"))
+    return w.join(first.where("c > 1"), "digest").where(place > F.col("first")).select(
+        "doc_id", "row", "start", F.lit(length).cast("long").alias("size"))
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """doc_id, start, size: spans whose every byte lies in a repeated window (they may overlap)."""
-    table = cell_table(docs, length, gram)
+    """doc_id, row, start, size: spans whose every byte lies in a repeated window (they may overlap)."""
+    table = materialise(cell_table(docs, length, gram), "cell_table")
     often = table.groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1").select("anchor")
     found = materialise(table.join(often, "anchor", "left_semi"), "cells")
-    place = F.struct("doc_id", "start")
+    place = F.struct("doc_id", "row", "start")
     distinct = materialise(found.groupBy("anchor", "cell", "size").agg(
         F.min(place).alias("first"), F.count("*").alias("c")), "distinct_cells")
     later = found.join(distinct.where("c > 1"), ["anchor", "cell", "size"]).where(place > F.col("first")).select(
-        "doc_id", "start", "size")
+        "doc_id", "row", "start", "size")
     kinds = distinct.groupBy("anchor").agg(F.count("*").alias("kinds"), F.sum("size").alias("total")).where("kinds > 1")
     kinds = materialise(kinds, "anchors")
     total = kinds.agg(F.sum("total")).first()[0] or 0
     blocks = max(1, math.ceil(total / BLOCK_BYTES))
     wanted = distinct.join(kinds.select("anchor", (F.col("kinds") > HOT).alias("hot")), "anchor").select(
-        "anchor", "hot", F.col("first.doc_id").alias("doc_id"), F.col("first.start").alias("start"), "size")
+        "anchor", "hot", F.col("first.doc_id").alias("doc_id"), F.col("first.row").alias("row"), F.col("first.start").alias("start"), "size")
     filled = materialise(cell_bytes(docs, wanted, length, gram).join(
         kinds.where(f"kinds > {HOT}").select("anchor", F.lit(True).alias("hot")), "anchor", "left"), "cell_bytes")
     block = F.pmod(F.xxhash64("anchor"), F.lit(blocks))
     cold = filled.where("hot is null").withColumn("block", block).groupBy("block").applyInPandas(
-        lambda pdf: block_spans(pdf, length, gram), "doc_id long, start long, size long")
+        lambda pdf: block_spans(pdf, length, gram), "doc_id long, row long, start long, size long")
     return later.unionAll(cold).unionAll(hot_spans(filled.where("hot"), length))
 
 
 def remove_spans(docs: DataFrame, spans: DataFrame, with_text: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and the kept text, broken characters replaced)."""
-    own = spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "size")).alias("spans"))
+    own = spans.groupBy("doc_id", "row").agg(F.collect_list(F.struct("start", "size")).alias("spans"))
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["text"] * with_text
     types = [pa.int64()] * 4 + [pa.string()] * 2
 
@@ -277,7 +293,7 @@ def remove_spans(docs: DataFrame, spans: DataFrame, with_text: bool = False) ->
             cols = list(zip(*rows)) or [()] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)][:len(names)], names)
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", text string" * with_text
-    return docs.join(own, "doc_id", "left").select("doc_id", "text", "spans").mapInArrow(run, schema)
+    return docs.join(own, ["doc_id", "row"], "left").select("doc_id", "text", "spans").mapInArrow(run, schema)
 
 
 def _cut(data: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int, int, int]:
@@ -299,5 +315,5 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                    gram: int = GRAM, with_text: bool = False) -> DataFrame:
     """One row per document, see ``remove_spans``."""
     prepare(docs.sparkSession)
-    docs = narrow(docs, id_col, text_col)
+    docs = narrow(docs, id_col, text_col).withColumn("row", F.xxhash64("text"))
     return remove_spans(docs, materialise(repeated_spans(docs, length, gram), "spans"), with_text)
