@@ -38,8 +38,12 @@ def line_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group (0.8 similar on five-word shingles)."""
     prepare(spark)
-    found = minhash.near_duplicates(docs, words=STAGE_SHINGLE).where("not kept").select(F.col("doc_id").alias("near_id")).distinct()
-    return docs.join(found, F.col("doc_id") == F.col("near_id"), "left_anti").select(*docs.columns)
+    found = minhash.near_duplicates(docs, words=STAGE_SHINGLE).where("not kept").select("doc_id", "text_hash").distinct()
+    # the document's own columns stay inside a struct, so none can clash with the found ones
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col("doc_id").cast("long").alias("own_id"),
+                       F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("own_hash"))
+    gone = (F.col("own_id") == F.col("doc_id")) & (F.col("own_hash") == F.col("text_hash"))
+    return rows.join(found, gone, "left_anti").select("doc.*")
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
