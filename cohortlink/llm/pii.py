@@ -6,10 +6,17 @@ adds identifiers no pattern describes: every word with a digit or @ is a possibl
 word before and the word after).  Instances that overlap a base span are seeds.
 A pattern's confidence is the summed score of the instances it surrounds over
 all places of the corpus where its words occur, an instance's score the best
-confidence of its patterns; both are recomputed for a few rounds on the
-pattern-instance graph.  A pattern that touches no seed enters through instances
-that an earlier round found.  Patterns of high confidence and support then mark
-the identifiers they surround (kind ``context``).
+confidence of its patterns; both are recomputed on the pattern-instance graph
+until they rest (they only rise, so they do).  A pattern that touches no seed
+enters through instances that an earlier round found.  Patterns of high
+confidence and support then mark the identifiers they surround (kind ``context``).
+
+Frequent words make chance patterns: many instances somewhere in a large
+corpus, and far more places.  A pattern's confidence is at most its instances'
+occurrences over its places, and its places in any part of the corpus are a
+lower bound of all.  Patterns that this bound keeps below ``PASS_ON`` can neither
+pass on nor mark, so they leave the graph before places are counted in the whole
+corpus; the result is the same.
 
 DataFrame and SQL functions only.  Patterns are written so that no text makes
 the regular expressions backtrack (possessive, anchored at run starts).
@@ -37,7 +44,10 @@ PATTERNS = {
 WORD = r"(?<!\S)\S*[0-9@]\S*"
 #: a word that is no seed counts as an identifier with so many characters and digits
 LEAST_CHARS, LEAST_DIGITS = 6, 3
-ROUNDS = 3
+#: the scoring ends when a round raises the confidences by less than this in all
+REST = 1e-6
+#: one text in so many (by its hash) is the part of the corpus that bounds the places from below
+PART = 16
 #: distinct instances a pattern must surround, and the confidence with which it marks or passes on
 SUPPORT, CONFIDENT, PASS_ON = 5, 0.8, 0.5
 
@@ -122,24 +132,37 @@ def places(docs: DataFrame, patterns: DataFrame) -> DataFrame:
         F.count("*").alias("places"))
 
 
+def possible_patterns(docs: DataFrame, edges: DataFrame) -> DataFrame:
+    """(pattern): those with enough instances whose confidence the bound does not keep below PASS_ON."""
+    often = materialise(edges.groupBy("pattern").agg(F.count("*").alias("kinds"), F.sum("n").alias("most")).where(
+        f"kinds >= {SUPPORT}").select("pattern", "most"), "patterns")
+    part = docs.where(F.pmod(F.xxhash64("text"), F.lit(PART)) == 0)
+    low = places(part, often.select("pattern"))
+    return often.join(low, "pattern", "left").where(
+        F.coalesce("places", F.lit(0)) * PASS_ON <= F.col("most")).select("pattern")
+
+
 def confident_patterns(docs: DataFrame, occ: DataFrame) -> DataFrame:
-    """(pattern): those whose confidence and support are high after the scoring rounds."""
-    edges = occ.select("instance", "seed", F.explode("patterns").alias("pattern")).groupBy("pattern", "instance").agg(
-        F.count("*").alias("n"), F.max("seed").alias("seed"))
-    often = edges.groupBy("pattern").agg(F.count("*").alias("kinds")).where(f"kinds >= {SUPPORT}").select("pattern")
-    often = materialise(often, "patterns")
+    """(pattern): those whose confidence and support are high once the scores rest."""
+    edges = materialise(occ.select("instance", "seed", F.explode("patterns").alias("pattern")).groupBy(
+        "pattern", "instance").agg(F.count("*").alias("n"), F.max("seed").alias("seed")), "all_edges")
+    often = materialise(possible_patterns(docs, edges), "possible_patterns")
     edges = materialise(edges.join(often, "pattern", "left_semi"), "edges")
     total = materialise(places(docs, often), "places")
     score = edges.select("instance", "seed").where("seed").distinct().select("instance", F.lit(1.0).alias("score"))
-    for k in range(ROUNDS):
+    mark = None
+    while True:
         conf = edges.join(score, "instance").groupBy("pattern").agg(
             F.sum(F.col("n") * F.col("score")).alias("mass"), F.count("*").alias("support")).join(
             total, "pattern").select("pattern", (F.col("mass") / F.col("places")).alias("confidence"), "support")
         conf = materialise(conf, "confidence")
+        now = conf.agg(F.coalesce(F.sum("confidence"), F.lit(0.0)), F.coalesce(F.sum("support"), F.lit(0))).first()
+        if mark is not None and now[1] == mark[1] and now[0] - mark[0] < REST:
+            return conf.where(f"confidence >= {CONFIDENT} and support >= {SUPPORT}").select("pattern")
+        mark = now
         score = edges.join(conf.where(f"confidence >= {PASS_ON} and support >= {SUPPORT}"), "pattern", "left").groupBy(
             "instance").agg(F.greatest(F.max(F.col("seed").cast("double")), F.least(
                 F.coalesce(F.max("confidence"), F.lit(0.0)), F.lit(1.0))).alias("score")).where("score > 0")
-    return conf.where(f"confidence >= {CONFIDENT} and support >= {SUPPORT}").select("pattern")
 
 
 def context_spans(docs: DataFrame, base: DataFrame) -> DataFrame:
