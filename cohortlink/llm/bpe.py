@@ -46,7 +46,7 @@ PIECE = 1 << 16
 #: characters of text whose words are looked up together
 BATCH = 1 << 21
 #: entries of each of the two generations of the encoder's memos
-MEMO = 150_000
+MEMO = 400_000
 #: white-space-free pieces up to this length are encoded (and remembered) whole
 SHORT = 64
 

@@ -1,9 +1,8 @@
 """Operator 8: packing documents into fixed windows by Karmarkar-Karp multiway differencing.
 
 A document's tokens (an end id included) are cut at multiples of the window;
-full pieces are windows of their own.  The remainders are dealt to shards of
-about ``SHARD_DOCS`` documents by a hash of the id, and every shard is packed
-by multiway differencing: each piece starts as a partial partition of k
+full pieces are windows of their own.  The pieces are dealt to tasks in turn and
+packed in shards of about ``SHARD_PIECES`` pieces by multiway differencing: each piece starts as a partial partition of k
 windows, the two partial partitions with the largest imbalance are merged,
 fullest window of one with emptiest of the other, until one is left.  k starts
 at the fewest windows that could hold the shard and rises whenever the fullest
@@ -12,21 +11,23 @@ its id) has its remainder cut finely; its pieces even out the windows.
 
 Only (id, start, length, checksum) rows are shuffled.  The cut of a document
 depends on its own length and id alone, so a retried task makes the same pieces.
+The pieces of a document may lie in any sequences; no key gathers rows.
 
 Defined cases: a null or empty text is the end id alone; an empty table packs
-to no rows; repeated ids are packed each by itself (they share a shard).
+to no rows; rows with repeated or null ids are packed each by itself.
 """
 
 from __future__ import annotations
 
 import heapq
+import itertools
 import math
 import struct
 import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +36,8 @@ from cohortlink.llm.common import narrow, prepare
 
 WINDOW = 2048
 END_ID = 1
-SHARD_DOCS = 1024
+#: documents a task packs at least (if there are so many), and pieces that are packed together
+SHARD_DOCS, SHARD_PIECES = 1024, 3000
 FILLER_EVERY = 7
 #: the largest and the smallest piece a filler document's remainder is cut into
 FILLER_MOST, FILLER_LEAST = 256, 8
@@ -127,26 +129,25 @@ def pack(sizes: np.ndarray, window: int = WINDOW) -> np.ndarray:
         k += 1
 
 
-def pack_shard(pdf: pd.DataFrame, window: int = WINDOW) -> pd.DataFrame:
-    """Sequences of one shard: full pieces first, then the packed remainders."""
-    pdf = pdf.sort_values(["length", "doc_id", "start", "ids_crc32"], ascending=[False, True, True, True],
-                          kind="stable", na_position="first")
-    sizes = pdf["length"].to_numpy()
+def pack_shard(part: pa.Table, first: int, window: int = WINDOW) -> tuple[pa.Table, int]:
+    """Sequences of one shard, numbered from ``first``: full pieces, then the packed remainders; and their number."""
+    length = part["length"].to_numpy()
+    by = np.argsort(-length, kind="stable")
+    sizes = length[by]
     full = int((sizes == window).sum())
     seq = np.arange(len(sizes))
     if full < len(sizes):
         seq[full:] = full + pack(sizes[full:], window)
-    pdf = pdf.iloc[np.argsort(seq, kind="stable")]
-    seq = np.sort(seq, kind="stable")
-    sizes = pdf["length"].to_numpy()
+    again = np.argsort(seq, kind="stable")
+    by, seq, sizes = by[again], seq[again], sizes[again]
     upto = np.cumsum(sizes) - sizes
     total = np.bincount(seq, weights=sizes).astype("int64")
-    first = np.searchsorted(seq, np.arange(len(total)))
+    start = np.searchsorted(seq, np.arange(len(total)))
     whole = total[seq]
-    shard = pdf["shard"].to_numpy()
-    return pdf.assign(sequence_id=(shard << 32) + seq, offset=upto - upto[first][seq], sequence_tokens=whole,
-                      padded_tokens=np.where(whole & (whole - 1), window, whole))[
-        [c.split()[0] for c in PACKED.split(", ")]]
+    new = {"sequence_id": first + seq, "offset": upto - upto[start][seq], "sequence_tokens": whole,
+           "padded_tokens": np.where(whole & (whole - 1), window, whole)}
+    part = part.take(pa.array(by))
+    return pa.table({**{c: part[c] for c in part.schema.names}, **{c: pa.array(v, pa.int64()) for c, v in new.items()}}), len(total)
 
 
 def pack_documents(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_ID,
@@ -155,7 +156,20 @@ def pack_documents(docs: DataFrame, path: str, window: int = WINDOW, end_id: int
 
     ``padded_tokens``: the window, or the sequence's own size at a power of two.
     """
-    shards = max(1, math.ceil(docs.count() / SHARD_DOCS))
+    most = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     p = pieces(docs, path, window, end_id, id_col, text_col)
-    p = p.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)))
-    return p.groupBy("shard").applyInPandas(lambda pdf: pack_shard(pdf, window), PACKED)
+    # dealt in turn, so no id, null or text gathers anywhere; in a mixed order that a retried task finds again
+    own = ["doc_id", "start", "ids_crc32"]
+    p = p.repartition(max(1, min(most, math.ceil(docs.count() / SHARD_DOCS)))).sortWithinPartitions(F.xxhash64(*own), *own)
+
+    def run(batches):
+        held, rows, first = [], 0, TaskContext.get().partitionId() << 32
+        for b in itertools.chain(batches, [None]):
+            if b is not None:
+                held.append(b)
+                rows += b.num_rows
+            if rows and (b is None or rows >= SHARD_PIECES):
+                out, n = pack_shard(pa.Table.from_batches(held), first, window)
+                yield from out.to_batches()
+                held, rows, first = [], 0, first + n
+    return p.mapInArrow(run, PACKED)
