@@ -6,6 +6,8 @@ where the rows are; nothing here shuffles.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -268,6 +270,11 @@ def json_text(col) -> Column:
     return F.concat(F.lit('"'), F.when(c.rlike(r"[^ -~]"), odd).otherwise(c), F.lit('"'))
 
 
+def json_literal(text: str) -> Column:
+    """``json_text`` of a constant: one literal instead of an expression."""
+    return F.lit(json.dumps(text))
+
+
 def json_number_list(col) -> Column:
     """A list of doubles as Python ``json.dumps`` writes it: ``[1.0, 2.5]``."""
     return F.concat(F.lit("["), F.array_join(F.transform(_c(col), lambda v: py_float(v)), ", "), F.lit("]"))

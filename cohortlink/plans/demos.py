@@ -19,7 +19,7 @@ from .. import dims
 from ..functions import rules as R
 from ..operators import common, files, link, nested, order, outcome, package, params, select, submit
 from ..session import scratch_path
-from ..sources import readers
+from ..sources import listing, readers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -111,6 +111,21 @@ def file_listing_dirs(spark, sf):
     return readers.only_dirs(readers.with_directories(listing)).select("path")
 
 
+@query("O04", """
+select distinct o_orderstatus || '/' || cast(year(o_orderdate) as varchar) || '/' || cast(month(o_orderdate) as varchar) as folder,
+       cast(1 as bigint) as n_files, true as has_bytes from orders
+""")
+def file_tree_listing(spark, sf):
+    """Orders written to a tree of folders, the tree listed by tasks: files and bytes of each lowest folder."""
+    root = scratch_path(spark, "order-tree")
+    o = tbl(spark, sf, "orders").select("o_orderkey", F.col("o_orderstatus").alias("status"),
+                                        F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"))
+    o.repartition("status", "year", "month").write.partitionBy("status", "year", "month").parquet(root)
+    files = listing.list_tree(spark, root).where("not is_dir")
+    folder = F.regexp_replace(F.regexp_extract("parent", "(status=.*)$", 1), "[a-z]+=", "")
+    return files.groupBy(folder.alias("folder")).agg(F.count("*").alias("n_files"), (F.min("length") > 0).alias("has_bytes"))
+
+
 @query("O05", """
 select l_orderkey, count(*)::bigint as n_series,
        first(l_partkey order by l_linenumber, l_partkey, l_suppkey, l_quantity) as first_part

@@ -15,13 +15,16 @@ import argparse
 import datetime
 import os
 import sys
+from functools import reduce
+
+from pyspark.sql import DataFrame
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
 from cohortlink.operators import commit, outcome  # noqa: E402
 from cohortlink.plans.pipeline import ReleaseInputs, ReleaseParams, build_release  # noqa: E402
 from cohortlink.session import drop_scratch, get_spark  # noqa: E402
-from cohortlink.sources import readers  # noqa: E402
+from cohortlink.sources import listing, readers  # noqa: E402
 
 
 def parse(argv=None):
@@ -32,7 +35,9 @@ def parse(argv=None):
     p.add_argument("--modality", action="append", required=True)
     p.add_argument("--catalog", required=True)
     p.add_argument("--containers", required=True)
-    p.add_argument("--inventory", required=True, help="parquet listing (path, name, parent, is_dir, length, ...)")
+    found = p.add_mutually_exclusive_group(required=True)
+    found.add_argument("--inventory", help="parquet listing (path, name, parent, is_dir, length, ...)")
+    found.add_argument("--list", action="append", help="root folder to list now, by tasks (may repeat)")
     p.add_argument("--registry", required=True)
     p.add_argument("--locations", required=True)
     p.add_argument("--registration")
@@ -64,7 +69,8 @@ def main(argv=None, spark=None) -> None:
         cohort=readers.read_cohort(spark, a.cohort),
         catalog=readers.read_catalog(spark, a.catalog),
         containers=readers.read_containers(spark, a.containers),
-        files=spark.read.parquet(a.inventory),
+        files=(spark.read.parquet(a.inventory) if a.inventory else
+               reduce(DataFrame.unionAll, [listing.list_tree(spark, root) for root in a.list])),
         registry=readers.read_registry(spark, a.registry),
         locations=spark.read.option("header", "true").csv(a.locations),
         registration=spark.read.parquet(a.registration) if a.registration else None,
