@@ -16,9 +16,16 @@ Groups of near copies are not expanded to all pairs: classes under a pair are
 first compared with one hub per pair (several rounds, another hub each time),
 then only classes that are still in different components are compared with
 each other.  A pair within one component cannot change the result, so no link
-between components is lost.  In that last comparison the agreeing coordinates
+between components is lost.  Before that last comparison the agreeing coordinates
 are counted inside the join on the pair, from a few bits of every minimum that
-are posted with it; only pairs with enough of them leave the join.
+are posted with it, and only classes with a partner that agrees often enough
+stay.  It then keeps a pair only if it can reach the similarity: two sets share
+at most the smaller count of their frequent shingles (those that more than
+``RARE`` of the compared classes hold) plus the rare ones that both hold.  Pairs
+without a common rare shingle are bounded inside the join on the posted pair and
+leave it at the first such pair they share; pairs with one are found by a join
+on the rare shingles and counted.  The bound is exact for every ``RARE``, which
+only moves work between the two.
 
 Defined cases: null or empty text has an empty set and links with nothing;
 one word is one shingle; equal texts share a class; rows with a null id keep
@@ -44,6 +51,8 @@ SHINGLE = 2
 SIMILARITY = 80
 #: rounds of comparing with hubs before the remaining pairs are compared
 HUB_ROUNDS = 3
+#: a shingle that at most so many compared classes hold is rare
+RARE = 64
 #: low bits of each minimum that the last comparison looks at
 BITS = 4
 
@@ -214,7 +223,8 @@ def link_classes(posts: DataFrame, classes: DataFrame, docs: DataFrame, words: i
             active = materialise(active.join(mixed.select("token"), "token"), "active")
             if active.isEmpty():
                 break
-        pairs = hub_pairs(active, k) if k < HUB_ROUNDS else cross_pairs(active, with_bits(classes), percent, matches)
+        pairs = hub_pairs(active, k) if k < HUB_ROUNDS else cross_pairs(materialise(possible_rows(
+            active, with_bits(classes), percent, matches), "possible"), texts, words, percent)
         near = F.col("m") * 100 >= F.col("n") * percent, F.col("n") * 100 >= F.col("m") * percent
         pairs = pairs.where(near[0] & near[1]).select(
             F.least("hub", "rep").alias("a"), F.greatest("hub", "rep").alias("b")).distinct()
@@ -241,24 +251,74 @@ def with_bits(classes: DataFrame) -> DataFrame:
         for k in range(BITS)])
 
 
-def cross_pairs(active: DataFrame, bits: DataFrame, percent: int, matches: int) -> DataFrame:
-    """Classes under a token that are still in different components, whose sizes allow the similarity and whose
-    signatures can agree often enough: every class outside the token's largest component with every class of
-    another component.
+def possible_rows(active: DataFrame, bits: DataFrame, percent: int, matches: int) -> DataFrame:
+    """The rows (token, rep, n, component) of ``active`` that have a partner under their token: a class of another
+    component whose size allows the similarity and whose signature can agree often enough.
 
-    The signatures' low bits travel with the posting, and the coordinates that agree are counted inside the join
-    on the token: minima that agree have agreeing bits, so no pair is lost, and a pair of unrelated minima passes
-    in one of 2 ** BITS cases.  A row that fails the count never leaves the join.
+    The signatures' low bits travel with the posting, and the agreeing coordinates are counted inside the join on
+    the token: minima that agree have agreeing bits, so no pair is lost, and a pair of unrelated minima passes in
+    one of 2 ** BITS cases.  The joins are semi joins: a row leaves once or not at all.  The conditions are the same
+    under every token, so a pair keeps all the tokens it shares.
     """
     active = active.select("token", "rep", "n", "component").join(bits, "rep")
     sizes = active.groupBy("token", "component").agg(F.count("*").alias("c"))
     most = sizes.groupBy("token").agg(F.max(F.struct("c", "component")).alias("x")).select(
         "token", F.col("x.component").alias("largest"))
-    few = active.join(most, "token").where("component <> largest").select(
-        "token", F.col("rep").alias("hub"), F.col("n").alias("m"), F.col("component").alias("hub_component"),
-        *[F.col(f"b{k}").alias(f"h{k}") for k in range(BITS)])
-    other = " | ".join(f"(b{k} ^ h{k})" for k in range(BITS))
-    agree = F.expr(f"{COORDS} - bit_count({other}) >= {matches}")
-    sized = (F.col("m") * 100 >= F.col("n") * percent) & (F.col("n") * 100 >= F.col("m") * percent)
-    return active.join(few, "token").where(
-        (F.col("component") != F.col("hub_component")) & sized & agree).select("hub", "m", "rep", "n")
+    few = active.join(most, "token").where("component <> largest").drop("largest")
+
+    def partnered(some: DataFrame, others: DataFrame) -> DataFrame:
+        o = others.select(F.col("token").alias("t"), F.col("n").alias("m"), F.col("component").alias("other"),
+                          *[F.col(f"b{k}").alias(f"h{k}") for k in range(BITS)])
+        unlike = " | ".join(f"(b{k} ^ h{k})" for k in range(BITS))
+        near = ((F.col("token") == F.col("t")) & (F.col("component") != F.col("other"))
+                & (F.col("m") * 100 >= F.col("n") * percent) & (F.col("n") * 100 >= F.col("m") * percent)
+                & F.expr(f"{COORDS} - bit_count({unlike}) >= {matches}"))
+        return some.join(o, near, "left_semi").select("token", "rep", "n", "component")
+    return partnered(active, few).unionAll(partnered(few, active)).distinct()
+
+
+def shingle_rows(texts: DataFrame, words: int) -> DataFrame:
+    """(rep, s): the distinct shingles of each text."""
+    def run(batches):
+        z = zstandard.ZstdDecompressor()
+        for b in batches:
+            for rep, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                s = shingle_set(z.decompress(blob), words)
+                for k in range(0, len(s), 65536):
+                    part = s[k:k + 65536].view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), rep)), pa.array(part)], ["rep", "s"])
+    return texts.select("rep", "blob").mapInArrow(run, "rep long, s long")
+
+
+def cross_pairs(active: DataFrame, texts: DataFrame, words: int, percent: int, rare: int | None = None) -> DataFrame:
+    """Classes under a token that are still in different components and can be similar: every class outside
+    the token's largest component with every class of another component."""
+    rare = RARE if rare is None else rare
+    reps = active.select("rep", "n", "component").distinct()
+    held = materialise(shingle_rows(texts.join(reps.select("rep"), "rep", "left_semi"), words), "shingles")
+    often = held.groupBy("s").agg(F.count("*").alias("c")).where(F.col("c") > rare).select("s")
+    low = materialise(held.join(often, "s", "left_anti"), "rare_shingles")
+    reps = materialise(reps.join(low.groupBy("rep").agg(F.count("*").alias("low")), "rep", "left").select(
+        "rep", "n", "component", (F.col("n") - F.coalesce("low", F.lit(0))).alias("frequent")), "shared_counts")
+
+    def possible(both):
+        return 100 * both >= percent * (F.col("n") + F.col("m") - both)
+
+    most_shared = F.least("frequent", "hub_frequent")
+    hub = [F.col("rep").alias("hub"), F.col("n").alias("m"), F.col("component").alias("hub_component"),
+           F.col("frequent").alias("hub_frequent")]
+    # a class's posted tokens (at most COORDS): two classes are paired under the smallest they share
+    own = active.groupBy("rep").agg(F.sort_array(F.collect_list("token")).alias("own"))
+    active = active.select("token", "rep").join(reps.join(own, "rep"), "rep")
+    sizes = active.groupBy("token", "component").agg(F.count("*").alias("c"))
+    most = sizes.groupBy("token").agg(F.max(F.struct("c", "component")).alias("x")).select(
+        "token", F.col("x.component").alias("largest"))
+    few = active.join(most, "token").where("component <> largest").select("token", *hub, F.col("own").alias("hub_own"))
+    first = F.get(F.array_intersect("own", "hub_own"), F.lit(0))
+    apart = active.join(few, "token").where((F.col("component") != F.col("hub_component")) & possible(most_shared)
+                                            & (first == F.col("token")))
+    low = low.join(reps, "rep")
+    sharing = low.join(low.select("s", *hub), "s").where("rep < hub and component <> hub_component").groupBy(
+        "hub", "m", "rep", "n", most_shared.alias("shared")).agg(F.count("*").alias("k"))
+    names = ["hub", "m", "rep", "n"]
+    return apart.select(*names).unionAll(sharing.where(possible(F.col("shared") + F.col("k"))).select(*names))
