@@ -11,9 +11,15 @@ at the same place.  The minimum place per key gives each line its earliest
 neighbour, which is then verified with the edit distance.  No pair within a
 key is formed.
 
-Only lines that can have a neighbour emit variants: lines one edit apart share
-their first or their last half, so a line that shares neither with a line of
-a length that differs by at most one is left out (exact, not a heuristic).
+Only lines that can have a neighbour emit variants, and only of the part that
+can differ (exact, not a heuristic): lines one edit apart share their first or
+their last half, so a line that shares neither is left out; and of ``BLOCKS``
+blocks of the longer line they share all but one, so a line emits the variants
+of those blocks whose surroundings another line has too.
+
+Texts of lines are read again where few of them are wanted: the wanted keys'
+hashes, cut to ``SLOTS`` values, are sent to all tasks (never more than that),
+so only lines that may be wanted are shuffled for the exact join.
 
 DataFrame and SQL functions only.
 
@@ -34,6 +40,10 @@ from cohortlink.llm.common import materialise, narrow, prepare
 
 #: characters from which lines are compared with an edit bound
 LEAST = 16
+#: blocks of a line, one of which may hold the edit
+BLOCKS = 8
+#: distinct hash values that are sent to all tasks at most
+SLOTS = 1 << 21
 BLANKS = " \t\x0b\f\r"
 
 
@@ -59,64 +69,96 @@ def lines(docs: DataFrame) -> DataFrame:
         "doc_id", "row", "at", trimmed(F.col("line")).alias("line")).where("line <> ''")
 
 
-def half_keys(line: str) -> Column:
-    """Keys that two lines one edit apart share at least one of: first and last half at both possible
-    lengths of the longer line."""
-    part = f"cast((length({line}) - 1 + extra) / 2 as int)"
-    return F.expr(f"""flatten(transform(array(0, 1), extra -> array(
-        xxhash64(length({line}) + extra, 'first', left({line}, {part})),
-        xxhash64(length({line}) + extra, 'last', right({line}, {part})))))""")
+def half_keys(line: str, n: str) -> Column:
+    """Keys of which two lines one edit apart share one or more: the first and the last characters, as many as
+    half of the line and half of a line with one character less round down to (some null).
+
+    The longer of two such lines shares its first or last (n - 1) / 2 characters with the other, and so any fewer.
+    """
+    def part(m: str) -> str:
+        h = f"cast(({m} - 1) / 2 as int)"
+        return f"if({h} < 32, {h}, {h} - {h} % 8)"
+    own, less = part(n), part(f"({n} - 1)")
+    keys = [f"xxhash64({k}, '{side}', {side}({line}, {k}))" for k in (own, less) for side in ("left", "right")]
+    return F.expr(f"array({keys[0]}, {keys[1]}, if({own} <> {less}, {keys[2]}, null), if({own} <> {less}, {keys[3]}, null))")
+
+
+def block_keys(few: DataFrame) -> DataFrame:
+    """key, block, extra, before, after: for both lengths m (n + extra) of the longer line and each of its blocks
+    the hash of what stands around the block, of which ``before`` and ``after`` are the characters."""
+    at = few.select("key", "line", F.length("line").alias("n"), F.explode(F.sequence(F.lit(0), F.lit(2 * BLOCKS - 1))).alias("x"))
+    at = at.selectExpr("key", "line", f"cast(x / {BLOCKS} as int) as extra", f"x % {BLOCKS} as k", f"n + cast(x / {BLOCKS} as int) as m")
+    at = at.selectExpr("key", "line", "extra", "k", "m", f"cast(k * m / {BLOCKS} as int) as before",
+                       f"m - cast((k + 1) * m / {BLOCKS} as int) as after")
+    return at.selectExpr("key", "xxhash64(m, k, left(line, before), right(line, after)) as block", "extra", "before", "after")
 
 
 def variants(few: DataFrame) -> DataFrame:
-    """doc_id, row, at, variant, gone: the line itself (gone 0) and each deletion of one character (its place)."""
-    return few.select("doc_id", "row", "at", F.posexplode(F.expr(
-        "transform(sequence(0, n), i -> xxhash64(if(i = 0, line, concat(left(line, i - 1), substr(line, i + 1))), n - int(i > 0)))"
-    )).alias("gone", "variant"))
+    """first, variant, gone: of every block that may hold the edit the line itself, as the shorter of two (gone 0),
+    or each deletion of one character of the block, as the longer (its place)."""
+    b = materialise(block_keys(few), "block_keys")
+    # a block's surroundings belong to a line of the longer length and to another line
+    met = b.groupBy("block").agg(F.count("*").alias("c"), F.min("extra").alias("e")).where("c > 1 and e = 0").select("block")
+    some = b.join(met, "block", "left_semi").join(few, "key").selectExpr(
+        "first", "block", "extra", "substr(line, before + 1, length(line) - before - after) as part")
+    return some.select("first", F.posexplode(F.expr("""transform(sequence(0, if(extra = 1, 0, length(part))), i ->
+        if(i = 0, if(extra = 1, xxhash64(block, part), null), xxhash64(block, concat(left(part, i - 1), substr(part, i + 1)))))"""
+        )).alias("gone", "variant")).where("variant is not null")
 
 
 def earliest_neighbours(few: DataFrame) -> DataFrame:
     """first, other: the earliest place of a line that shares a variant in a way that means one edit."""
     v = materialise(variants(few), "variants")
-    whole = v.where("gone = 0").select("variant", place().alias("as_whole"))
+    whole = v.where("gone = 0").select("variant", F.col("first").alias("as_whole"))
     # a whole line and the lines that become it by one deletion: each is the other's neighbour
-    met = v.where("gone > 0").join(whole, "variant").select(place().alias("as_deletion"), "as_whole")
+    met = v.where("gone > 0").join(whole, "variant").select(F.col("first").alias("as_deletion"), "as_whole")
     same = v.where("gone > 0").groupBy("variant", "gone").agg(
-        F.min(place()).alias("least"), F.count("*").alias("c")).where("c > 1").drop("c")
-    equal = v.where("gone > 0").join(same, ["variant", "gone"]).select(place().alias("first"), F.col("least").alias("other"))
+        F.min("first").alias("least"), F.count("*").alias("c")).where("c > 1").drop("c")
+    equal = v.where("gone > 0").join(same, ["variant", "gone"]).select("first", F.col("least").alias("other"))
     return (met.select(F.col("as_deletion").alias("first"), F.col("as_whole").alias("other"))
             .unionAll(met.select(F.col("as_whole").alias("first"), F.col("as_deletion").alias("other")))
             .unionAll(equal)).groupBy("first").agg(F.min("other").alias("other"))
 
 
 def spread(few: DataFrame) -> DataFrame:
-    """The lines over all shuffle partitions: each becomes as many rows as it has characters."""
+    """The lines over all shuffle partitions: each becomes as many rows as it has variants."""
     return few.repartition(int(few.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key")
 
 
+def perhaps(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose key is not wanted; a join on the key has to follow."""
+    slot = F.pmod(F.xxhash64("key"), F.lit(SLOTS))
+    sent = wanted.select(slot.alias("slot")).distinct()
+    return rows.withColumn("slot", slot).join(F.broadcast(sent), "slot", "left_semi").drop("slot")
+
+
 def near_lines(every: DataFrame, distinct: DataFrame) -> DataFrame:
     """key of every distinct line that has an earlier line within edit distance 1, verified."""
-    h = distinct.where("halves is not null").select("key", "first", F.explode("halves").alias("half"))
+    h = distinct.where("halves is not null").select(
+        F.xxhash64("key").alias("short"), F.explode("halves").alias("half")).where("half is not null")
     shared = h.groupBy("half").agg(F.count("*").alias("c")).where("c > 1").select("half")
-    few = materialise(h.join(shared, "half", "left_semi").select("key", "first").distinct(), "keys_with_neighbours")
-    few = materialise(every.join(few, "key").where(place() == F.col("first")).select(
-        "key", "first", "doc_id", "row", "at", "line", F.length("line").alias("n")).dropDuplicates(["key"]), "lines_with_neighbours")
+    short = h.join(shared, "half", "left_semi").select("short").distinct()
+    few = materialise(distinct.select("key", "first").withColumn("short", F.xxhash64("key")).join(
+        short, "short", "left_semi").drop("short"), "keys_with_neighbours")
+    few = materialise(perhaps(every, few).join(few, "key").where(place() == F.col("first")).select(
+        "key", "first", "line").dropDuplicates(["key"]), "lines_with_neighbours")
     found = earliest_neighbours(spread(few)).join(few, "first").where(F.col("other") < F.col("first"))
     text = few.select(F.col("first").alias("other"), F.col("line").alias("other_line"))
-    return found.join(text, "other").where(F.levenshtein("line", "other_line") <= 1).select("key").distinct()
+    return found.join(text, "other").where(F.levenshtein("line", "other_line", 1) >= 0).select("key").distinct()
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
     """doc_id, row, at, near: the lines that go (near: no equal line occurs earlier)."""
     every = lines(docs).withColumn("key", digest(F.col("line")))
+    places = materialise(every.withColumn("n", F.length("line")).select(
+        "key", "doc_id", "row", "at", F.when(F.col("n") >= LEAST, half_keys("line", "n")).alias("halves")), "places")
     distinct = materialise(
-        every.select("key", "doc_id", "row", "at", F.when(F.length("line") >= LEAST, half_keys("line")).alias("halves")).groupBy(
-            "key").agg(F.min(place()).alias("first"), F.first("halves").alias("halves"), F.count("*").alias("c")),
+        places.groupBy("key").agg(F.min(place()).alias("first"), F.first("halves").alias("halves"), F.count("*").alias("c")),
         "distinct_lines")
     near = materialise(near_lines(every, distinct), "near_lines")
-    known = distinct.where("c > 1").select("key", "first").join(near.withColumn("near", F.lit(True)), "key", "full").select(
-        "key", "first", "near")
-    return every.drop("line").join(known, "key").where((place() > F.col("first")) | F.col("near")).select(
+    known = materialise(distinct.where("c > 1").select("key", "first").join(near.withColumn("near", F.lit(True)), "key", "full").select(
+        "key", "first", "near"), "known_lines")
+    return perhaps(places.drop("halves"), known).join(known, "key").where((place() > F.col("first")) | F.col("near")).select(
         "doc_id", "row", "at", (~F.coalesce(place() > F.col("first"), F.lit(False))).alias("near"))
 
 
@@ -131,8 +173,10 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     # the document's own columns stay inside a struct, so none can clash with a work column
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
-                        F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("row"), text.alias("whole"))
-    out = whole.join(own, ["doc_id", "row"], "left").withColumn("parts", F.split("whole", "\n", -1))
+                        F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("row"))
+    # the text is taken from the struct after the join, so it is shuffled once
+    text = F.coalesce(F.col("doc").getField(text_col).cast("string"), F.lit(""))
+    out = whole.join(own, ["doc_id", "row"], "left").withColumn("parts", F.split(text, "\n", -1))
     kept = F.expr("array_join(transform(array_except(sequence(0, size(parts) - 1), gone), i -> parts[i]), '\\n')")
     return out.select("doc", F.when(F.col("gone").isNotNull(), kept).otherwise(F.col("doc")[text_col]).alias("text"),
                       F.size(F.filter("parts", lambda x: trimmed(x) != "")).cast("long").alias("n_lines"),
