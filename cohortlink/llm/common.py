@@ -11,6 +11,8 @@ from cohortlink.session import cut_lineage, ensure_checkpoint_dir
 
 #: rows of one Arrow batch handed to Python; texts can be long, so batches are small
 ARROW_ROWS = 500
+#: 64-bit words of a prefilter at most (64 keys to a word)
+WORDS = 1 << 19
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,3 +41,16 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     gc.collect()
     df.sparkSession.sparkContext._jvm.System.gc()
     return out
+
+
+def perhaps(rows: DataFrame, wanted: DataFrame, *keys: str) -> DataFrame:
+    """``rows`` without most of those whose keys are not in ``wanted``; an exact join on the keys has to follow.
+
+    Each wanted key sets one of 64 * WORDS bits by its hash; the words, WORDS at most however many keys are
+    wanted, are broadcast, so only rows that may be wanted are shuffled for the join."""
+    bit = F.pmod(F.xxhash64(*keys), F.lit(64 * WORDS))
+    word, mask = F.shiftright(bit, 6), F.expr(f"shiftleft(1L, int(pmod(xxhash64({', '.join(keys)}), 64)))")
+    sent = wanted.groupBy(word.alias("word_of_bits")).agg(F.bit_or(mask).alias("bits"))
+    return rows.withColumn("word_of_bits", word).withColumn("own_bit", mask).join(F.broadcast(sent.select(
+        F.col("word_of_bits").alias("w"), "bits")), (F.col("word_of_bits") == F.col("w")) & (F.col("own_bit").bitwiseAND(F.col("bits")) != 0),
+        "left_semi").drop("word_of_bits", "own_bit")

@@ -17,9 +17,8 @@ their last half, so a line that shares neither is left out; and of ``BLOCKS``
 blocks of the longer line they share all but one, so a line emits the variants
 of those blocks whose surroundings another line has too.
 
-Texts of lines are read again where few of them are wanted: the wanted keys'
-hashes, cut to ``SLOTS`` values, are sent to all tasks (never more than that),
-so only lines that may be wanted are shuffled for the exact join.
+Texts of lines are read again where few of them are wanted; ``common.perhaps``
+leaves most others out before the exact join.
 
 DataFrame and SQL functions only.
 
@@ -36,14 +35,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortlink.llm.common import materialise, narrow, prepare
+from cohortlink.llm.common import materialise, narrow, perhaps, prepare
 
 #: characters from which lines are compared with an edit bound
 LEAST = 16
 #: blocks of a line, one of which may hold the edit
 BLOCKS = 8
-#: distinct hash values that are sent to all tasks at most
-SLOTS = 1 << 21
 BLANKS = " \t\x0b\f\r"
 
 
@@ -125,13 +122,6 @@ def spread(few: DataFrame) -> DataFrame:
     return few.repartition(int(few.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key")
 
 
-def perhaps(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``rows`` without most of those whose key is not wanted; a join on the key has to follow."""
-    slot = F.pmod(F.xxhash64("key"), F.lit(SLOTS))
-    sent = wanted.select(slot.alias("slot")).distinct()
-    return rows.withColumn("slot", slot).join(F.broadcast(sent), "slot", "left_semi").drop("slot")
-
-
 def near_lines(every: DataFrame, distinct: DataFrame) -> DataFrame:
     """key of every distinct line that has an earlier line within edit distance 1, verified."""
     h = distinct.where("halves is not null").select(
@@ -140,7 +130,7 @@ def near_lines(every: DataFrame, distinct: DataFrame) -> DataFrame:
     short = h.join(shared, "half", "left_semi").select("short").distinct()
     few = materialise(distinct.select("key", "first").withColumn("short", F.xxhash64("key")).join(
         short, "short", "left_semi").drop("short"), "keys_with_neighbours")
-    few = materialise(perhaps(every, few).join(few, "key").where(place() == F.col("first")).select(
+    few = materialise(perhaps(every, few, "key").join(few, "key").where(place() == F.col("first")).select(
         "key", "first", "line").dropDuplicates(["key"]), "lines_with_neighbours")
     found = earliest_neighbours(spread(few)).join(few, "first").where(F.col("other") < F.col("first"))
     text = few.select(F.col("first").alias("other"), F.col("line").alias("other_line"))
@@ -158,7 +148,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     near = materialise(near_lines(every, distinct), "near_lines")
     known = materialise(distinct.where("c > 1").select("key", "first").join(near.withColumn("near", F.lit(True)), "key", "full").select(
         "key", "first", "near"), "known_lines")
-    return perhaps(places.drop("halves"), known).join(known, "key").where((place() > F.col("first")) | F.col("near")).select(
+    return perhaps(places.drop("halves"), known, "key").join(known, "key").where((place() > F.col("first")) | F.col("near")).select(
         "doc_id", "row", "at", (~F.coalesce(place() > F.col("first"), F.lit(False))).alias("near"))
 
 

@@ -42,7 +42,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlink.llm.common import materialise, narrow, prepare
+from cohortlink.llm.common import materialise, narrow, perhaps, prepare
 from cohortlink.llm.graph import components
 
 COORDS = 64
@@ -132,16 +132,17 @@ def postings(classes: DataFrame, matches: int = MATCHES) -> DataFrame:
 
 
 def blobs(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """rep, blob: the compressed text of the wanted classes (rep, doc, text_hash)."""
+    """rep, blob and whatever else ``wanted`` has: the compressed text of the wanted classes (rep, doc, text_hash)."""
     def run(batches):
         z = zstandard.ZstdCompressor(level=3)
         for b in batches:
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(2), pa.array([z.compress(t.encode()) for t in b.column(1).to_pylist()], pa.binary())],
                 ["doc", "text_hash", "blob"])
-    packed = docs.where("doc_id is not null").select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(
-        run, "doc long, text_hash long, blob binary")
-    return packed.join(wanted, ["doc", "text_hash"]).select("rep", "blob").dropDuplicates(["rep"])
+    own = docs.where("doc_id is not null").select(F.col("doc_id").alias("doc"), "text", F.xxhash64("text").alias("text_hash"))
+    packed = perhaps(own, wanted, "doc", "text_hash").mapInArrow(run, "doc long, text_hash long, blob binary")
+    # rows equal in id and text go before the join, which needs them dealt in the same way
+    return packed.dropDuplicates(["doc", "text_hash"]).join(wanted, ["doc", "text_hash"]).drop("doc", "text_hash")
 
 
 def low_bytes(sig: str):
@@ -156,8 +157,12 @@ def confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int, matche
 
     # the low byte of each minimum: agreeing minima have agreeing bytes, so no pair is lost
     agree = F.expr("aggregate(sequence(1, length(low_a)), 0, (n, i) -> n + int(substr(low_a, i, 1) = substr(low_b, i, 1)))")
-    near = pairs.join(side("a", "low"), "a").join(side("b", "low"), "b").where(agree >= matches).select("a", "b")
-    rows = near.join(side("b", "blob"), "b").join(side("a", "blob"), "a").select("a", "b", "blob_a", "blob_b")
+    near = materialise(pairs.join(side("a", "low"), "a").join(side("b", "low"), "b").where(agree >= matches).select("a", "b"), "near_pairs")
+    # each round compares a part of the texts, so only that part is shuffled
+    rows = near
+    for name in ("b", "a"):
+        rows = rows.join(perhaps(side(name, "blob"), near.select(name), name), name)
+    rows = rows.select("a", "b", "blob_a", "blob_b")
 
     def run(batches):
         z, last = zstandard.ZstdDecompressor(), (None, None)
@@ -210,8 +215,9 @@ def link_classes(posts: DataFrame, classes: DataFrame, docs: DataFrame, words: i
                  matches: int) -> DataFrame:
     """(a, b): confirmed links that connect every component of similar classes."""
     spark = posts.sparkSession
-    wanted = classes.select("rep", "doc", "text_hash").join(posts.select("rep").distinct(), "rep")
-    texts = materialise(blobs(docs, wanted).join(classes.select("rep", low_bytes("sig").alias("low")), "rep"), "texts")
+    wanted = materialise(classes.select("rep", "doc", "text_hash", low_bytes("sig").alias("low")).join(
+        posts.select("rep").distinct(), "rep", "left_semi"), "wanted")
+    texts = materialise(blobs(docs, wanted), "texts")
     empty = spark.createDataFrame([], "a long, b long, linked boolean")
     tested, label, active = empty, None, posts.withColumn("component", F.col("rep"))
     for k in range(HUB_ROUNDS + 1):
@@ -295,7 +301,7 @@ def cross_pairs(active: DataFrame, texts: DataFrame, words: int, percent: int, r
     the token's largest component with every class of another component."""
     rare = RARE if rare is None else rare
     reps = active.select("rep", "n", "component").distinct()
-    held = materialise(shingle_rows(texts.join(reps.select("rep"), "rep", "left_semi"), words), "shingles")
+    held = materialise(shingle_rows(perhaps(texts, reps, "rep").join(reps.select("rep"), "rep", "left_semi"), words), "shingles")
     often = held.groupBy("s").agg(F.count("*").alias("c")).where(F.col("c") > rare).select("s")
     low = materialise(held.join(often, "s", "left_anti"), "rare_shingles")
     reps = materialise(reps.join(low.groupBy("rep").agg(F.count("*").alias("low")), "rep", "left").select(
