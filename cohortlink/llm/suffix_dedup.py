@@ -11,13 +11,16 @@ Every byte covered by a ``LENGTH``-byte string that also starts earlier
 2. *Equal cells* are pre-aggregated to the earliest one; every window of a
    later one starts earlier elsewhere.
 3. *Blocks.*  Distinct cells of one anchor meet in a block of anchors.  The
-   block's text is sorted by ``gsaca.suffix_array``; neighbours that agree on
-   LENGTH bytes are one string, and all but its earliest start are repeats.
-   Cells are first cut to the windows whose inner context (of at least
-   LENGTH - GRID bytes) another cell shares; the others cannot repeat.
-4. An anchor with more than HOT distinct cells would make an unbounded block:
-   its windows are grouped by digest instead (``hot_spans``), which Spark
-   pre-aggregates and splits; the result is the same.
+   block's text is sorted by ``gsaca.suffix_array``, SORTED symbols or one
+   anchor at a time; neighbours that agree on LENGTH bytes are one string, and
+   all but its earliest start are repeats.  Cells are first cut to the windows
+   whose inner context (of at least LENGTH - GRID bytes) another cell shares;
+   the others cannot repeat.  Equal parts are sorted once.
+4. An anchor with more than HOT distinct cells would make an unbounded block.
+   Its cells are cut in two by where their windows stand to the anchor
+   (``halves``); the windows of a half share more bytes, the *core*, which
+   takes the anchor's place.  Equal halves are pre-aggregated like cells, and
+   cores that are still hot are cut again, at most until the core is the window.
 
 Only anchors' hashes and positions are shuffled for the whole corpus.
 
@@ -35,6 +38,7 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,12 +47,14 @@ from cohortlink.llm.gsaca import suffix_array
 
 LENGTH = 100
 GRAM = 32
-GRID = 6
+GRID = 2
 #: window starts taken at a time, so memory does not follow the longest text
 SEGMENT = 1 << 20
 #: bytes of cells a block should hold; distinct cells of one anchor that go to a block
 BLOCK_BYTES = 1 << 19
 HOT = 1000
+#: symbols sorted at a time (more only for one anchor), so that the sorter's lists stay in the processor's cache
+SORTED = 1 << 13
 
 _P = 0x9E3779B97F4A7C15
 _M2, _M3 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -128,18 +134,22 @@ def cell_table(docs: DataFrame, length: int, gram: int) -> DataFrame:
 
 
 def block_spans(pdf: pd.DataFrame, length: int = LENGTH, gram: int = GRAM) -> pd.DataFrame:
-    """Distinct cells of a block of anchors (anchor, doc_id, row, start, bytes) -> repeated spans doc_id, row, start, size."""
+    """Distinct cells of a block of anchors (anchor, doc_id, row, start, bytes) -> repeated spans doc_id, row, start, size.
+
+    ``gram`` is the size of the core that the windows of a cell share.
+    """
     pdf = _shared_parts(pdf.reset_index(drop=True), length, gram)
     empty = pd.DataFrame({c: pd.Series(dtype="int64") for c in ("doc_id", "row", "start", "size")})
     if len(pdf) < 2:
         return empty
+    pdf, copies = _distinct_parts(pdf)
     size = pdf["bytes"].map(len).to_numpy()
     # symbol 0 ends every cell, so no window runs from one cell into the next
     text = np.concatenate([np.append(np.frombuffer(x, np.uint8).astype(np.int64) + 1, 0) for x in pdf["bytes"]])
     begin = np.cumsum(size + 1) - size - 1
     owner = np.repeat(np.arange(len(pdf)), size + 1)
     offset = np.arange(len(text)) - begin[owner]
-    order = suffix_array(text)
+    order = _sorted_by_anchors(text, begin, pdf["anchor"].to_numpy())
     order = order[offset[order] <= size[owner[order]] - length]
     same = np.ones(max(0, len(order) - 1), bool)
     wide = np.lib.stride_tricks.sliding_window_view((text - 1).astype(np.uint8), 8)
@@ -163,7 +173,24 @@ def block_spans(pdf: pd.DataFrame, length: int = LENGTH, gram: int = GRAM) -> pd
     rep = canon[rank] > canon[least]
     spans = _merged(doc[rep], start[rep], length)
     number = spans.pop("doc").to_numpy()
-    return spans.assign(doc_id=ids[0][number], row=ids[1][number])[["doc_id", "row", "start", "size"]]
+    spans = spans.assign(doc_id=ids[0][number], row=ids[1][number])[["doc_id", "row", "start", "size"]]
+    return pd.concat([spans, copies], ignore_index=True)
+
+
+def _distinct_parts(pdf: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
+    """The earliest of equal parts, by anchor, and the spans of the others."""
+    pdf = pdf.sort_values(["doc_id", "row", "start"], kind="stable")
+    copy = pdf.duplicated("bytes")
+    own, part = pdf[~copy].sort_values("anchor", kind="stable"), pdf[copy]
+    return own, part[["doc_id", "row", "start"]].assign(size=part["bytes"].map(len).astype("int64"))
+
+
+def _sorted_by_anchors(text: np.ndarray, begin: np.ndarray, anchor: np.ndarray) -> np.ndarray:
+    """Suffixes of the parts that begin at ``begin``, in order within runs of whole anchors."""
+    first = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
+    run = begin[first] // SORTED
+    cut = [*begin[first[np.concatenate([[True], run[1:] != run[:-1]])]].tolist(), len(text)]
+    return np.concatenate([suffix_array(text[i:j]) + i for i, j in zip(cut, cut[1:])])
 
 
 def _numbered(doc_id: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray]]:
@@ -188,7 +215,7 @@ def _shared_parts(pdf: pd.DataFrame, length: int, gram: int) -> pd.DataFrame:
     h = Hashes(data)
     at, inner = begin + pdf["inner"].to_numpy(), length - gram
     first, last = begin + size, begin - 1
-    grid = min(GRID, inner)
+    grid = max(1, min(GRID, inner))
     for left in range(0, inner + 1, grid):
         a, b = at - left, at + gram + max(0, inner - left - grid + 1)
         ok = np.flatnonzero((a >= begin) & (b <= begin + size))
@@ -222,36 +249,67 @@ def cell_bytes(docs: DataFrame, wanted: DataFrame, length: int, gram: int) -> Da
     def run(batches):
         for b in batches:
             for k in range(0, b.num_rows, 64):
-                part, rows = b.slice(k, 64), []
-                for i, r, t, asked in zip(*(part.column(c).to_pylist() for c in range(4))):
+                part = b.slice(k, 64)
+                ids, row, texts = (part.column(c) for c in range(3))
+                count = pc.list_value_length(part.column(3)).to_numpy()
+                anchor, start, size = part.column(3).flatten().flatten()
+                cells_, at, ends = [], 0, (pc.add(start, size)).to_pylist()
+                starts = start.to_pylist()
+                for t, n in zip(texts.to_pylist(), count.tolist()):
                     data = t.encode()
-                    rows += [(x["anchor"], i, r, x["start"], data[x["start"]:x["start"] + x["size"]]) for x in asked]
-                cols = list(zip(*rows)) or [()] * 5
-                inner = [_anchor_place(x, length, gram) for x in cols[4]]
+                    cells_ += [data[i:j] for i, j in zip(starts[at:at + n], ends[at:at + n])]
+                    at += n
+                of = pa.array(np.repeat(np.arange(part.num_rows), count))
                 yield pa.RecordBatch.from_arrays(
-                    [*(pa.array(c, pa.int64()) for c in cols[:4]), pa.array(inner, pa.int64()),
-                     pa.array(cols[4], pa.binary())], ["anchor", "doc_id", "row", "start", "inner", "bytes"])
+                    [anchor, ids.take(of), row.take(of), start, pa.array(_anchor_places(cells_, length, gram)),
+                     pa.array(cells_, pa.binary())], ["anchor", "doc_id", "row", "start", "inner", "bytes"])
     return texts.select("doc_id", "row", "text", "asked").mapInArrow(
         run, "anchor long, doc_id long, row long, start long, inner long, bytes binary")
 
 
-def _anchor_place(cell: bytes, length: int, gram: int) -> int:
-    data = np.frombuffer(cell, np.uint8)
-    at = np.arange(length - gram + 1)
-    h = Hashes(data[:length]).of(at, at + gram)
-    return int(np.argmin(h >> np.uint64(24)))
+def _anchor_places(cells_: list[bytes], length: int, gram: int) -> np.ndarray:
+    """Where the anchor of each cell begins: its first window's least gram, leftmost on ties."""
+    out, at = [np.zeros(0, np.int64)], np.arange(length - gram + 1)
+    for k in range(0, len(cells_), 2048):
+        some = cells_[k:k + 2048]
+        h = Hashes(np.frombuffer(b"".join(x[:length] for x in some), np.uint8))
+        gram_at = np.arange(len(some))[:, None] * length + at
+        out.append(np.argmin(h.of(gram_at, gram_at + gram) >> np.uint64(24), axis=1))
+    return np.concatenate(out)
 
 
-def hot_spans(cells_: DataFrame, length: int) -> DataFrame:
-    """The same spans for anchors with very many cells, by grouping digests of their windows."""
-    w = cells_.select("doc_id", "row", F.col("start").alias("base"), "bytes",
-                      F.explode(F.expr(f"sequence(0, length(bytes) - {length})")).alias("o")).select(
-        "doc_id", "row", (F.col("base") + F.col("o")).alias("start"),
-        F.md5(F.expr(f"substring(bytes, o + 1, {length})")).alias("digest"))
-    place = F.struct("doc_id", "row", "start")
-    first = w.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("c"))
-    return w.join(first.where("c > 1"), "digest").where(place > F.col("first")).select(
-        "doc_id", "row", "start", F.lit(length).cast("long").alias("size"))
+def halves(cells_: DataFrame, length: int, core: int) -> tuple[DataFrame, int]:
+    """Cells (anchor, doc_id, row, start, inner, bytes) cut in two, and the size of their new cores.
+
+    A window begins at most length - core bytes before the core at ``inner``.  Those that begin at most
+    ``mid`` bytes before it share the bytes from the core on, the others those from mid + 1 bytes before it.
+    """
+    mid = (length - core) // 2
+    longer = length - mid
+    last = f"length(bytes) - {length}"
+    near, far = f"greatest(0L, inner - {mid})", f"least({last}, inner - {mid + 1})"
+
+    def half(lead, end, inner):
+        return f"""struct(start + {lead} as start, {inner} - {lead} as inner,
+            substring(bytes, cast({lead} + 1 as int), cast({end} + {length} - {lead} as int)) as bytes,
+            xxhash64(anchor, {inner} = inner, substring(bytes, cast({inner} + 1 as int), {longer})) as anchor,
+            {lead} <= {end} as any)"""
+    both = F.explode(F.expr(f"array({half(near, last, 'inner')}, {half('0L', far, f'inner - {mid + 1}')})"))
+    return cells_.select("doc_id", "row", both.alias("half")).where("half.any").select(
+        "half.anchor", "doc_id", "row", "half.start", "half.inner", "half.bytes"), longer
+
+
+def block_rows(cells_: DataFrame, total: int, length: int, core: int) -> DataFrame:
+    """Repeated spans of cells with ``total`` bytes, sorted in blocks of whole anchors."""
+    block = F.pmod(F.xxhash64("anchor"), F.lit(max(1, math.ceil(total / BLOCK_BYTES))))
+    return cells_.withColumn("block", block).groupBy("block").applyInPandas(
+        lambda pdf: block_spans(pdf, length, core), "doc_id long, row long, start long, size long")
+
+
+def kinds_of(distinct: DataFrame, size) -> DataFrame:
+    """Anchors with more than one distinct cell: anchor, kinds, total (bytes)."""
+    return materialise(distinct.groupBy("anchor").agg(
+        F.count("*").alias("kinds"), F.sum(size).alias("total")).where("kinds > 1"), "anchors")
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -262,20 +320,25 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     place = F.struct("doc_id", "row", "start")
     distinct = materialise(found.groupBy("anchor", "cell", "size").agg(
         F.min(place).alias("first"), F.count("*").alias("c")), "distinct_cells")
-    later = found.join(distinct.where("c > 1"), ["anchor", "cell", "size"]).where(place > F.col("first")).select(
+    spans = found.join(distinct.where("c > 1"), ["anchor", "cell", "size"]).where(place > F.col("first")).select(
         "doc_id", "row", "start", "size")
-    kinds = distinct.groupBy("anchor").agg(F.count("*").alias("kinds"), F.sum("size").alias("total")).where("kinds > 1")
-    kinds = materialise(kinds, "anchors")
-    total = kinds.agg(F.sum("total")).first()[0] or 0
-    blocks = max(1, math.ceil(total / BLOCK_BYTES))
-    wanted = distinct.join(kinds.select("anchor", (F.col("kinds") > HOT).alias("hot")), "anchor").select(
-        "anchor", "hot", F.col("first.doc_id").alias("doc_id"), F.col("first.row").alias("row"), F.col("first.start").alias("start"), "size")
-    filled = materialise(cell_bytes(docs, wanted, length, gram).join(
-        kinds.where(f"kinds > {HOT}").select("anchor", F.lit(True).alias("hot")), "anchor", "left"), "cell_bytes")
-    block = F.pmod(F.xxhash64("anchor"), F.lit(blocks))
-    cold = filled.where("hot is null").withColumn("block", block).groupBy("block").applyInPandas(
-        lambda pdf: block_spans(pdf, length, gram), "doc_id long, row long, start long, size long")
-    return later.unionAll(cold).unionAll(hot_spans(filled.where("hot"), length))
+    kinds = kinds_of(distinct, F.col("size"))
+    filled = cell_bytes(docs, distinct.join(kinds.select("anchor"), "anchor").select("anchor", "first.*", "size"), length, gram)
+    core = gram
+    while True:
+        filled = materialise(filled.join(kinds.where(f"kinds > {HOT}").select("anchor", F.lit(True).alias("hot")),
+                                         "anchor", "left"), "cell_bytes")
+        total, hot = kinds.agg(F.expr(f"sum(total) filter (where kinds <= {HOT})"), F.expr(f"count_if(kinds > {HOT})")).first()
+        spans = spans.unionAll(block_rows(filled.where("hot is null"), total or 0, length, core))
+        if not hot:
+            return spans
+        parts, core = halves(filled.where("hot"), length, core)
+        key = ["anchor", "inner", "bytes"]
+        distinct = materialise(parts.groupBy(*key).agg(F.min(place).alias("first"), F.count("*").alias("c")), "halves")
+        spans = spans.unionAll(parts.join(distinct.where("c > 1"), key).where(place > F.col("first")).select(
+            "doc_id", "row", "start", F.length("bytes").cast("long").alias("size")))
+        kinds = kinds_of(distinct, F.length("bytes"))
+        filled = distinct.join(kinds.select("anchor"), "anchor").select("anchor", "first.*", "inner", "bytes")
 
 
 def remove_spans(docs: DataFrame, spans: DataFrame, with_text: bool = False) -> DataFrame:
@@ -286,9 +349,12 @@ def remove_spans(docs: DataFrame, spans: DataFrame, with_text: bool = False) ->
 
     def run(batches):
         for b in batches:
-            rows = []
-            for i, t, s in zip(*(b.column(c).to_pylist() for c in range(3))):
-                kept, n, removed, runs = _cut(t.encode(), [(x["start"], x["size"]) for x in s or ()])
+            rows, at = [], 0
+            start, size = (c.to_numpy() for c in b.column(2).flatten().flatten())
+            count = pc.fill_null(pc.list_value_length(b.column(2)), 0).to_pylist()
+            for i, t, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), count):
+                kept, n, removed, runs = _cut(t.encode(), start[at:at + c], size[at:at + c])
+                at += c
                 rows.append((i, n, removed, runs, hashlib.sha256(kept).hexdigest(), kept.decode(errors="replace")))
             cols = list(zip(*rows)) or [()] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)][:len(names)], names)
@@ -296,19 +362,19 @@ def remove_spans(docs: DataFrame, spans: DataFrame, with_text: bool = False) ->
     return docs.join(own, ["doc_id", "row"], "left").select("doc_id", "text", "spans").mapInArrow(run, schema)
 
 
-def _cut(data: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int, int, int]:
-    kept, at, runs = [], 0, 0
-    last = -1
-    for start, size in sorted(spans):
-        start, end = min(start, len(data)), min(start + size, len(data))
-        if end <= at:
-            continue
-        runs += start > last
-        kept.append(data[at:max(at, start)])
-        at = last = end
+def _cut(data: bytes, start: np.ndarray, size: np.ndarray) -> tuple[bytes, int, int, int]:
+    if not len(start):
+        return data, len(data), 0, 0
+    by = np.argsort(start, kind="stable")
+    start, end = start[by], np.maximum.accumulate((start + size)[by])
+    new = np.flatnonzero(np.concatenate([[True], start[1:] > end[:-1]]))
+    kept, at = [], 0
+    for i, j in zip(start[new].tolist(), end[np.append(new[1:], len(end)) - 1].tolist()):
+        kept.append(data[at:i])
+        at = j
     kept.append(data[at:])
     out = b"".join(kept)
-    return out, len(data), len(data) - len(out), runs
+    return out, len(data), len(data) - len(out), len(new)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
